@@ -39,9 +39,7 @@ def check_digit_ok(number: Column) -> Column:
     """
     digit = [F.ascii(F.substring(number, i, 1)) - 48 for i in range(1, 11)]
     total = sum((digit[i] * (10 - i) for i in range(1, 9)), digit[0] * 10)
-    expected = F.lit(11) - total % 11
-    expected = F.when(expected == 11, 0).otherwise(expected)
-    return number.rlike("^[0-9]{10}$") & (expected == digit[9])
+    return number.rlike("^[0-9]{10}$") & ((F.lit(11) - total % 11) % 11 == digit[9])
 
 
 def valid_id(

@@ -2,21 +2,31 @@
 
 import time
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
 from casebook.constants import FIRST_READING_DATE, LINK
 from casebook.operators.quality import require_unique
 from casebook.plans import cohort as cohort_plan
-from casebook.plans import curation, deaths, events, journal, report
-from casebook.plans.demographic import demographic
+from casebook.plans import curation, journal
+from casebook.plans import demographic as demographic_plan
+from casebook.plans import events as events_plan
+from casebook.plans import patient as patient_plan
+from casebook.plans import report as report_plan
+from casebook.plans.deaths import deaths
 from casebook.plans.hospital import eligible_people, hospital_prep
 from casebook.plans.labels import LABELS, Labels
-from casebook.plans.patient import patient
 from casebook.session import shared_dir
 from casebook.sources.writers import write_table
 
+PRODUCTS = (
+    "extract", "clean_extract", "cohort", "journal", "people", "episodes", "deaths", "readings",
+    "diagnoses", "events", "demographic", "patient", "curated_events", "curated_patients",
+    "report", "metrics",
+)
+
 
 @dataclass(frozen=True)
 class Sources:
@@ -37,79 +47,143 @@ class Sources:
     codes: tuple[str, str] = ("DIAG_4_01", "DIAG_4_CONCAT")
 
 
-def build(
-    sources: Sources,
-    cohorts: Sequence[str],
-    extract_key: Sequence[str],
-    last_death,
-    emergency_from: int,
-    first_reading=FIRST_READING_DATE,
-    labels: Labels = LABELS,
-    out: str | None = None,
-    tie_columns: Sequence[str] = cohort_plan.TIE_COLUMNS,
-) -> tuple[dict[str, DataFrame], dict[str, float]]:
-    """Write all products below ``out`` (a shared folder by default).
-
-    Returns the written tables by name and the seconds each took. Keys that must be unique are
-    checked on the written table; a repeated key, or a failed report row, raises.
+@dataclass
+class Run:
+    """The products of some sources, each an attribute that is written when first asked for.
+
+    A product is written below ``out`` (a shared folder by default) and read back, so that what
+    follows starts from a table. Keys that must be unique are checked on the written table; a
+    repeated key, or a failed row of the report, raises. ``seconds`` holds the time of each write.
     """
-    spark = sources.annual.sparkSession
-    root = out or shared_dir(spark, "run")
-    tables: dict[str, DataFrame] = {}
-    seconds: dict[str, float] = {}
 
-    def keep(name: str, df: DataFrame, unique: Sequence[str] = (), partition_by=()) -> DataFrame:
+    sources: Sources
+    cohorts: Sequence[str]
+    extract_key: Sequence[str]
+    last_death: object
+    emergency_from: int
+    first_reading: object = FIRST_READING_DATE
+    tie_columns: Sequence[str] = cohort_plan.TIE_COLUMNS
+    labels: Labels = LABELS
+    out: str | None = None
+    seconds: dict[str, float] = field(default_factory=dict)
+
+    def _keep(
+        self, name: str, df: DataFrame, unique: Sequence[str] = (), by: Sequence[str] = ()
+    ) -> DataFrame:
+        self.out = self.out or shared_dir(df.sparkSession, "run")
         began = time.perf_counter()
-        written = write_table(df, f"{root}/{name}", partition_by=partition_by)
+        written = write_table(df, f"{self.out}/{name}", partition_by=by)
         if unique:
             require_unique(written, unique, name)
-        seconds[name] = time.perf_counter() - began
-        tables[name] = written.select(*df.columns)
-        return tables[name]
-
-    extracts = keep(
-        "extract",
-        cohort_plan.extract(sources.annual, sources.quarterly, cohorts, extract_key),
-        ["extract_id"],
-    )
-    clean = keep("clean_extract", cohort_plan.clean_extract(extracts, tie_columns=tie_columns))
-    members = keep("cohort", cohort_plan.cohort_table(clean), ["cohort_id"])
-    entries = keep("journal", cohort_plan.journal_table(clean, sources.cluster_ref), ["journal_id"])
-    people = keep("people", eligible_people(members))
-    code, code_list = sources.codes
-    episodes = keep(
-        "episodes",
-        hospital_prep(
-            sources.admitted, labels.admitted, code, code_list, admitted=True, eligible=people
-        ),
-        ["record_id"],
-    )
-    died = keep(
-        "deaths",
-        deaths.deaths(sources.deaths, labels.deaths, last_death, eligible=people),
-        ["record_id"],
-    )
-    pressure = keep("readings", journal.blood_pressure(entries, labels.readings, first_reading))
-    diagnoses = keep("diagnoses", journal.diagnosis(entries), LINK)
-    all_events = keep(
-        "events",
-        events.events(members, episodes, died, pressure, labels),
-        ["record_id"],
-        partition_by=["dataset", "category"],
-    )
-    demographics = keep(
-        "demographic",
-        demographic(
-            all_events, entries, sources.outpatient, sources.emergency, sources.ethnicity_ref,
-            emergency_from, labels,
-        ),
-        LINK,
-    )
-    patients = keep("patient", patient(all_events, diagnoses, demographics, labels), LINK)
-    keep("curated_events", curation.curated_events(all_events, labels))
-    keep("curated_patients", curation.curated_patients(patients), ["patient_key"])
-    checks = keep("report", report.report(all_events, patients, cohorts, labels))
-    if not report.failures(checks).isEmpty():
-        raise RuntimeError("the report has failures: see the report table")
-    keep("metrics", report.run_metrics(all_events, patients, demographics))
-    return tables, seconds
+        self.seconds[name] = time.perf_counter() - began
+        return written.select(*df.columns)
+
+    @cached_property
+    def extract(self) -> DataFrame:
+        """Both extracts, eligible cohorts only."""
+        s = self.sources
+        df = cohort_plan.extract(s.annual, s.quarterly, self.cohorts, self.extract_key)
+        return self._keep("extract", df, ["extract_id"])
+
+    @cached_property
+    def clean_extract(self) -> DataFrame:
+        """One row per person and extract, with the nested journal."""
+        df = cohort_plan.clean_extract(self.extract, tie_columns=self.tie_columns)
+        return self._keep("clean_extract", df)
+
+    @cached_property
+    def cohort(self) -> DataFrame:
+        """One row per person and extract."""
+        return self._keep("cohort", cohort_plan.cohort_table(self.clean_extract), ["cohort_id"])
+
+    @cached_property
+    def journal(self) -> DataFrame:
+        """One row per journal entry."""
+        df = cohort_plan.journal_table(self.clean_extract, self.sources.cluster_ref)
+        return self._keep("journal", df, ["journal_id"])
+
+    @cached_property
+    def people(self) -> DataFrame:
+        """The people of the cohort."""
+        return self._keep("people", eligible_people(self.cohort))
+
+    @cached_property
+    def episodes(self) -> DataFrame:
+        """Hospital episodes of the cohort."""
+        df = hospital_prep(
+            self.sources.admitted, self.labels.admitted, *self.sources.codes, admitted=True,
+            eligible=self.people,
+        )
+        return self._keep("episodes", df, ["record_id"])
+
+    @cached_property
+    def deaths(self) -> DataFrame:
+        """Deaths in the cohort."""
+        df = deaths(
+            self.sources.deaths, self.labels.deaths, self.last_death, eligible=self.people
+        )
+        return self._keep("deaths", df, ["record_id"])
+
+    @cached_property
+    def readings(self) -> DataFrame:
+        """Blood-pressure readings."""
+        df = journal.blood_pressure(self.journal, self.labels.readings, self.first_reading)
+        return self._keep("readings", df, ["record_id"])
+
+    @cached_property
+    def diagnoses(self) -> DataFrame:
+        """Diagnosis dates per person."""
+        return self._keep("diagnoses", journal.diagnosis(self.journal), LINK)
+
+    @cached_property
+    def events(self) -> DataFrame:
+        """The events table, stored by dataset and category."""
+        df = events_plan.events(
+            self.cohort, self.episodes, self.deaths, self.readings, self.labels
+        )
+        return self._keep("events", df, ["record_id"], by=["dataset", "category"])
+
+    @cached_property
+    def demographic(self) -> DataFrame:
+        """One ethnicity per person."""
+        df = demographic_plan.demographic(
+            self.events, self.journal, self.sources.outpatient, self.sources.emergency,
+            self.sources.ethnicity_ref, self.emergency_from, self.labels,
+        )
+        return self._keep("demographic", df, LINK)
+
+    @cached_property
+    def patient(self) -> DataFrame:
+        """The patient table."""
+        df = patient_plan.patient(self.events, self.diagnoses, self.demographic, self.labels)
+        return self._keep("patient", df, LINK)
+
+    @cached_property
+    def curated_events(self) -> DataFrame:
+        """Events for sharing."""
+        return self._keep("curated_events", curation.curated_events(self.events, self.labels))
+
+    @cached_property
+    def curated_patients(self) -> DataFrame:
+        """Patients for sharing."""
+        df = curation.curated_patients(self.patient)
+        return self._keep("curated_patients", df, ["patient_key"])
+
+    @cached_property
+    def report(self) -> DataFrame:
+        """The report on events and patients."""
+        df = report_plan.report(self.events, self.patient, self.cohorts, self.labels)
+        written = self._keep("report", df)
+        if not report_plan.failures(written).isEmpty():
+            raise RuntimeError("the report has failures: see the report table")
+        return written
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        """Counts of the products."""
+        df = report_plan.run_metrics(self.events, self.patient, self.demographic)
+        return self._keep("metrics", df)
+
+    def all(self) -> dict[str, DataFrame]:
+        """Every product by name."""
+        return {name: getattr(self, name) for name in PRODUCTS}

@@ -3,9 +3,11 @@
 from pyspark.sql import functions as F
 
 from casebook.constants import CONDITIONS, LINK
-from casebook.plans import cohort, curation, deaths, demographic, events, journal
-from casebook.plans.hospital import eligible_people, hospital_extract, hospital_prep
+from casebook.plans import cohort, curation, deaths, demographic, events, journal, patient, report
+from casebook.plans.hospital import hospital_extract, hospital_prep
 from casebook.plans.labels import LABELS
+from casebook.plans.patient import PATIENT_SCHEMA
+from casebook.plans.run import Run
 from workload.registry import query
 from workload.views import (
     COHORTS,
@@ -21,35 +23,11 @@ from workload.views_sql import age
 EMERGENCY_FROM = 20
 
 
-class Products:
-    """The products of the given tables, each one lazy plan."""
-
-    def __init__(self, t: Tables):
-        self.t = t
-        self.extract = cohort.extract(t.annual, t.quarterly, COHORTS, EXTRACT_KEY)
-        self.clean = cohort.clean_extract(self.extract, tie_columns=TIE_COLUMNS)
-        self.cohort = cohort.cohort_table(self.clean)
-        self.journal = cohort.journal_table(self.clean, t.cluster_ref)
-        self.people = eligible_people(self.cohort)
-        self.episodes = hospital_prep(
-            t.admitted, LABELS.admitted, "DIAG_4_01", "DIAG_4_CONCAT", admitted=True,
-            eligible=self.people,
-        )
-        self.deaths = deaths.deaths(t.deaths_raw, LABELS.deaths, LAST_DEATH, eligible=self.people)
-        self.readings = journal.blood_pressure(self.journal, LABELS.readings, FIRST_READING)
-        self.diagnoses = journal.diagnosis(self.journal)
-        self.events = events.events(self.cohort, self.episodes, self.deaths, self.readings)
-
-
-def written(t: Tables):
-    """A full run with every product written and read back."""
-    from casebook.plans.run import build
-
-    tables, _ = build(
-        t.sources, COHORTS, EXTRACT_KEY, LAST_DEATH, EMERGENCY_FROM, FIRST_READING,
-        tie_columns=TIE_COLUMNS,
+def run(t: Tables) -> Run:
+    """A run over the given tables; a product is written when it is asked for."""
+    return Run(
+        t.sources, COHORTS, EXTRACT_KEY, LAST_DEATH, EMERGENCY_FROM, FIRST_READING, TIE_COLUMNS
     )
-    return tables
 
 
 @query("job_extract", """
@@ -57,7 +35,7 @@ def written(t: Tables):
         CAST(extract_date AS VARCHAR) AS extract_date, practice, extract_id,
         n_entries AS entries FROM extract""")
 def _(t: Tables):
-    rows = Products(t).extract
+    rows = cohort.extract(t.annual, t.quarterly, COHORTS, EXTRACT_KEY)
     return rows.select(
         *LINK, "cohort", "extract_date", "practice", "extract_id", F.size("journal").alias("entries")
     )
@@ -68,7 +46,7 @@ def _(t: Tables):
         CAST(extract_date AS VARCHAR) AS extract_date, age, sex, lsoa, ethnicity,
         extract_id AS cohort_id FROM clean_extract""")
 def _(t: Tables):
-    return Products(t).cohort
+    return cohort.cohort_table(cohort.clean_extract(run(t).extract, tie_columns=TIE_COLUMNS))
 
 
 @query("job_journal", """
@@ -77,7 +55,7 @@ def _(t: Tables):
         CAST(journal_date AS VARCHAR) AS journal_date, sex, lsoa, ethnicity,
         concat_ws(',', value1, value2) AS code_array, cluster, journal_id FROM journal""")
 def _(t: Tables):
-    return Products(t).journal
+    return cohort.journal_table(run(t).clean_extract, t.cluster_ref)
 
 
 def _years(df, column: str = "fyear"):
@@ -116,7 +94,11 @@ def _(t: Tables):
         CAST(spell_start AS VARCHAR) AS spell_start, CAST(spell_end AS VARCHAR) AS spell_end
     FROM episodes""")
 def _(t: Tables):
-    return Products(t).episodes.select(
+    episodes = hospital_prep(
+        t.admitted, LABELS.admitted, "DIAG_4_01", "DIAG_4_CONCAT", admitted=True,
+        eligible=run(t).people,
+    )
+    return episodes.select(
         "record_id", *LINK, "code", "flag", "dataset", "code_array", "spell_id", "spell_start",
         "spell_end",
     )
@@ -126,7 +108,7 @@ def _(t: Tables):
     SELECT * REPLACE (CAST(birth_date AS VARCHAR) AS birth_date,
                       CAST(date_of_death AS VARCHAR) AS date_of_death) FROM deaths""")
 def _(t: Tables):
-    return Products(t).deaths
+    return deaths.deaths(t.deaths_raw, LABELS.deaths, LAST_DEATH, eligible=run(t).people)
 
 
 _DIAGNOSES = ", ".join(
@@ -137,7 +119,7 @@ _DIAGNOSES = ", ".join(
 @query("job_diagnosis", f"""
     SELECT person_id, CAST(birth_date AS VARCHAR) AS birth_date, {_DIAGNOSES} FROM diagnoses""")
 def _(t: Tables):
-    return Products(t).diagnoses
+    return journal.diagnosis(run(t).journal)
 
 
 @query("job_bp", """
@@ -145,7 +127,7 @@ def _(t: Tables):
                       CAST(extract_date AS VARCHAR) AS extract_date,
                       CAST(journal_date AS VARCHAR) AS journal_date) FROM readings""")
 def _(t: Tables):
-    return Products(t).readings
+    return journal.blood_pressure(run(t).journal, LABELS.readings, FIRST_READING)
 
 
 @query("job_smoking", f"""
@@ -157,7 +139,7 @@ def _(t: Tables):
               WHEN '266919005' THEN 'never' END AS flag FROM journal)
     WHERE flag IS NOT NULL GROUP BY person_id, birth_date, flag""")
 def _(t: Tables):
-    status = journal.smoking(Products(t).journal, SMOKING)
+    status = journal.smoking(run(t).journal, SMOKING)
     rows = status.select(*LINK, "journal_date", "flag", "age")
     return journal.smoking_periods(rows)
 
@@ -172,7 +154,8 @@ _LISTS = ", ".join(
 
 @query("job_events", f"SELECT {_EVENT}, {_LISTS} FROM all_events")
 def _(t: Tables):
-    return Products(t).events
+    r = run(t)
+    return events.events(r.cohort, r.episodes, r.deaths, r.readings)
 
 
 @query("job_demographic", """
@@ -180,9 +163,9 @@ def _(t: Tables):
         CAST(record_start_date AS VARCHAR) AS record_start_date, ethnicity,
         enhanced_ethnicity_flag FROM demographic""")
 def _(t: Tables):
-    p = Products(t)
+    r = run(t)
     return demographic.demographic(
-        p.events, p.journal, t.outpatient, t.emergency, t.ethnicity_ref, EMERGENCY_FROM
+        r.events, r.journal, t.outpatient, t.emergency, t.ethnicity_ref, EMERGENCY_FROM
     )
 
 
@@ -198,7 +181,8 @@ _PATIENT = f"""person_id, CAST(birth_date AS VARCHAR) AS birth_date,
 
 @query("job_patient", f"SELECT {_PATIENT} FROM patients")
 def _(t: Tables):
-    return written(t)["patient"]
+    r = run(t)
+    return patient.patient(r.events, r.diagnoses, r.demographic)
 
 
 @query("job_curate", """
@@ -210,14 +194,13 @@ def _(t: Tables):
         coalesce(array_to_string(record_id_assoc, ','), '') AS record_id_assoc
     FROM all_events WHERE dataset <> 'admitted' OR flag <> 'NO_CVD'""")
 def _(t: Tables):
-    return curation.curated_events(Products(t).events)
+    return curation.curated_events(run(t).events)
 
 
 _LEVEL = "CASE WHEN {0} THEN 'warning' ELSE 'pass' END"
 _NULL_PATIENT = ", ".join(
-    f"CASE WHEN count({c}) = 0 THEN '{c}' END"
-    for c in [f'"{c}_diagnosis_date"' for c in CONDITIONS]
-).replace("'\"", "'").replace("\"'", "'")
+    f"CASE WHEN count(\"{c}\") = 0 THEN '{c}' END" for c in PATIENT_SCHEMA.names
+)
 
 
 @query("job_report", f"""
@@ -245,7 +228,8 @@ _NULL_PATIENT = ", ".join(
         HAVING count(*) = count(latest_extract_date)
     UNION ALL SELECT 'pass', 'patients_schema', NULL FROM patients HAVING count(*) > 0""")
 def _(t: Tables):
-    return written(t)["report"]
+    r = run(t)
+    return report.report(r.events, r.patient, COHORTS)
 
 
 _DIAGNOSIS_COUNTS = " ".join(
@@ -285,6 +269,7 @@ _DIAGNOSIS_COUNTS = " ".join(
     UNION ALL SELECT 'demographic_table', 'enhanced_ethnicity',
         CAST(count(*) FILTER (enhanced_ethnicity_flag = 1) AS VARCHAR) FROM demographic)""")
 def _(t: Tables):
-    return written(t)["metrics"]
+    r = run(t)
+    return report.run_metrics(r.events, r.patient, r.demographic)
 
 

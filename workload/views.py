@@ -54,7 +54,7 @@ class Tables:
         start = F.when(F.col("c_nationkey") == 24, 999000000).otherwise(400000000)
         number = (start + F.col("c_custkey")).cast("string")
         total = sum((F.ascii(F.substring(number, i, 1)) - 48) * (11 - i) for i in range(1, 10))
-        check = F.when(total % 11 == 0, 0).when(total % 11 == 1, 0).otherwise(11 - total % 11)
+        check = (F.lit(11) - total % 11) % 11 % 10
         region = F.when(F.col("c_nationkey") >= 20, "W").otherwise("E")
         initial = F.substring("c_mktsegment", 1, 1)
         offset = (F.col("c_custkey") * 37 % 32850).cast("int")
