@@ -72,41 +72,37 @@ def _spread_value(df: DataFrame, found: DataFrame, keys: Sequence[str], value: s
     return joined.select(*columns)
 
 
-# What a modal value is chosen by: most frequent, then first seen, then largest.
-def _modal_order() -> Column:
-    first = F.coalesce(F.datediff(F.col("_first"), F.lit("1970-01-01")), F.lit(-(2**31) + 1))
-    return F.struct(F.col("_rows"), -first, F.col("_text"))
-
-
 def modal_values(
     df: DataFrame, keys: Sequence[str], day: str, unwanted: Mapping[str, Iterable[str]]
 ) -> DataFrame:
     """Most frequent wanted value of several columns, one row per key.
 
     ``unwanted`` lists, per column, the values that do not count. Equal counts are decided by the
-    earliest date, then by the largest value. The columns are counted together: (key, column,
-    value) triples are added up map-side, and the best triple per column is taken from the sums.
+    earliest date, then by the largest value. Rows are first counted per combination of all the
+    columns, which leaves few rows per key; those counts are then added up per column and value,
+    and the best value per column is taken from the sums.
     """
+    columns = list(unwanted)
+    combined = df.groupBy(*keys, *columns).agg(
+        F.count("*").alias("_rows"), F.min(day).alias("_first")
+    )
     pairs = [
         F.struct(F.lit(c).alias("column"), null_if_in(F.col(c).cast("string"), bad).alias("text"))
         for c, bad in unwanted.items()
     ]
-    values = df.select(*keys, F.col(day).alias("_day"), F.explode(F.array(*pairs)).alias("_pair"))
     counts = (
-        values.where("_pair.text is not null")
+        combined.select(*keys, "_rows", "_first", F.explode(F.array(*pairs)).alias("_pair"))
+        .where("_pair.text is not null")
         .groupBy(*keys, F.col("_pair.column").alias("_column"), F.col("_pair.text").alias("_text"))
-        .agg(F.count("*").alias("_rows"), F.min("_day").alias("_first"))
+        .agg(F.sum("_rows").alias("_rows"), F.min("_first").alias("_first"))
     )
-    kinds = {c: df.schema[c].dataType for c in unwanted}
-    best = [
-        F.max_by(
-            F.when(F.col("_column") == c, F.col("_text")),
-            F.when(F.col("_column") == c, _modal_order()),
-        )
-        .cast(kinds[c])
-        .alias(c)
-        for c in unwanted
-    ]
+    since = F.datediff(F.col("_first"), F.lit("1970-01-01"))
+    order = F.struct(F.col("_rows"), F.coalesce(-since, F.lit(2**31 - 1)), F.col("_text"))
+    best = []
+    for c in columns:
+        here = F.col("_column") == c
+        value = F.max_by(F.when(here, F.col("_text")), F.when(here, order))
+        best.append(value.cast(df.schema[c].dataType).alias(c))
     return counts.groupBy(*keys).agg(*best)
 
 
@@ -173,10 +169,11 @@ def collapse_spell(
         F.min_by(
             "lsoa", F.when(F.col("lsoa").isNotNull(), _newest_first(day, "lsoa"))
         ).alias("lsoa"),
-        *(F.min_by(c, earliest).alias(c) for c in first_row),
+        F.min_by(F.struct(*first_row), earliest).alias("_first"),
     )
     people = modal_values(episodes, [spell_id], day, modal)
-    return spells.join(people, [spell_id], "left")
+    whole = spells.join(people, [spell_id], "left")
+    return whole.select(*(c for c in whole.columns if c != "_first"), "_first.*")
 
 
 def summarise_multi(

@@ -7,12 +7,7 @@ from pyspark.sql import functions as F
 
 from casebook.constants import LINK, UNKNOWN_ETHNICITY
 from casebook.operators.filters import events_of, from_year
-from casebook.operators.latest import (
-    latest_non_null,
-    latest_prefer_non_null,
-    null_conflicts,
-    priority_source,
-)
+from casebook.operators.latest import latest_prefer_non_null, null_conflicts, priority_source
 from casebook.operators.links import eligible_only, ref_map_inner
 from casebook.operators.shaping import add_source_label, null_if_in, union_all
 from casebook.plans.labels import LABELS, Labels
@@ -30,16 +25,20 @@ def known_values(cohort_events: DataFrame) -> DataFrame:
     return null_conflicts(newest, [*KEYS, DAY], VALUE)
 
 
-def source_values(df: DataFrame) -> DataFrame:
-    """The newest known values per person in one other source."""
-    return latest_non_null(null_if_in(df, VALUE, UNKNOWN_ETHNICITY), KEYS, DAY, VALUE)
-
+def candidates(
+    journal: DataFrame,
+    hospital: Sequence[DataFrame],
+    ref: DataFrame,
+    labels: Labels = LABELS,
+) -> DataFrame:
+    """Dated known values per person from the journal and the hospital sources.
 
-def journal_values(journal: DataFrame, ref: DataFrame, labels: Labels = LABELS) -> DataFrame:
-    """The newest known values per person in the journal; ``ref`` has (ref_code, ethnicity)."""
-    rows = journal.select(*LINK, "journal_date", "code").distinct()
-    mapped = ref_map_inner(rows, ref, "code", "ref_code").withColumnRenamed("journal_date", DAY)
-    return source_values(add_source_label(mapped, labels.journal))
+    ``ref`` has (ref_code, ethnicity) rows and says which journal codes state a value.
+    """
+    rows = journal.select(*LINK, F.col("journal_date").alias(DAY), "code")
+    stated = add_source_label(ref_map_inner(rows, ref, "code", "ref_code"), labels.journal)
+    every = union_all([df.select(*COLUMNS) for df in (stated, *hospital)])
+    return null_if_in(every, VALUE, UNKNOWN_ETHNICITY).where(F.col(VALUE).isNotNull())
 
 
 def demographic(
@@ -54,25 +53,20 @@ def demographic(
 ) -> DataFrame:
     """One row per cohort member, with ``enhanced_ethnicity_flag`` 1 where others were asked.
 
-    Only people with an unknown value are looked for in the other sources: the semi-join runs
-    before anything is sorted out there.
+    The other sources are cut to people with an unknown value first. Their newest value needs no
+    search per source: the newest day over all sources is the newest day of each source on it.
     """
     own = known_values(events_of(events, labels.cohort, labels.cohort_category))
-    known = own.where(F.col(VALUE).isNotNull()).distinct()
-    unknown = own.where(F.col(VALUE).isNull()).select(*LINK).distinct()
+    unknown = own.where(F.col(VALUE).isNull())
     admitted = events_of(events, labels.admitted, labels.episode_category)
-    sources: Sequence[DataFrame] = [
-        journal_values(eligible_only(journal, unknown), ref, labels),
-        *(
-            source_values(eligible_only(df, unknown))
-            for df in (admitted, outpatient, from_year(emergency, DAY, emergency_from))
-        ),
-    ]
-    candidates = union_all([df.select(*COLUMNS) for df in sources])
-    single = priority_source(candidates, LINK, DAY, "dataset", VALUE, labels.priority, legacy)
-    found = unknown.join(single, list(LINK), "left").withColumn(
-        "enhanced_ethnicity_flag", F.lit(1)
-    )
-    columns = [*COLUMNS, "enhanced_ethnicity_flag"]
-    known = known.withColumn("enhanced_ethnicity_flag", F.lit(0))
-    return union_all([known.select(*columns), found.select(*columns)])
+    hospital = [admitted, outpatient, from_year(emergency, DAY, emergency_from)]
+    asked = eligible_only(candidates(journal, hospital, ref, labels), unknown)
+    single = priority_source(asked, LINK, DAY, "dataset", VALUE, labels.priority, legacy)
+    found = single.withColumnsRenamed({c: f"_{c}" for c in COLUMNS if c not in LINK})
+    missing = F.col(VALUE).isNull()
+    filled = {
+        c: F.when(missing, F.col(f"_{c}")).otherwise(F.col(c)) for c in COLUMNS if c not in LINK
+    }
+    flag = F.when(missing, 1).otherwise(0).alias("enhanced_ethnicity_flag")
+    columns = [filled[c].alias(c) if c in filled else F.col(c) for c in COLUMNS]
+    return own.join(found, list(LINK), "left").select(*columns, flag)
