@@ -43,7 +43,7 @@ def code_level(column_name: str) -> int:
 
 def normalise_code(code: Column, level: int) -> Column:
     """Spaces removed, cut to two characters (level 2) or three (levels 3 and 4)."""
-    return F.substring(F.regexp_replace(code, " ", ""), 1, 2 if level == 2 else 3)
+    return F.substring(F.translate(code, " ", ""), 1, 2 if level == 2 else 3)
 
 
 def any_code_matches(codes: Column, wanted: Iterable[str]) -> Column:

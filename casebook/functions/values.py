@@ -68,7 +68,7 @@ def hash_key(*parts: Column | str, null_token: str | None = None) -> Column:
 
 def split_codes(text: Column, delimiter: str = ",") -> Column:
     """Delimited text to an array, spaces removed first; null stays null."""
-    return F.split(F.regexp_replace(text, " ", ""), delimiter)
+    return F.split(F.translate(text, " ", ""), delimiter)
 
 
 def joined(array: Column) -> Column:

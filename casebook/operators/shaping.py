@@ -145,7 +145,7 @@ def normalise_code(df: DataFrame, column: str, invalid: str | None = None) -> Da
     are dropped.
     """
     level = codes.code_level(column)
-    bare = F.regexp_replace(column, " ", "")
+    bare = F.translate(F.col(column), " ", "")
     if level == 4:
         df = df.withColumn(f"{column}_full", F.substring(bare, 1, 4))
         if invalid is not None:

@@ -46,7 +46,9 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
     def spread(self, name: str, *keys: str) -> DataFrame:
         """A given table for work that is heavy per row.
@@ -63,7 +65,10 @@ class Tables:
         """Customers as people, with ten-digit ids (some of them invalid)."""
         start = F.when(F.col("c_nationkey") == 24, 999000000).otherwise(400000000)
         number = (start + F.col("c_custkey")).cast("string")
-        total = sum((F.ascii(F.substring(number, i, 1)) - 48) * (11 - i) for i in range(1, 10))
+        total = F.aggregate(
+            F.sequence(F.lit(1), F.lit(9)), F.lit(0),
+            lambda sum_, i: sum_ + (F.ascii(F.substring(number, i, F.lit(1))) - 48) * (11 - i),
+        )
         check = (F.lit(11) - total % 11) % 11 % 10
         region = F.when(F.col("c_nationkey") >= 20, "W").otherwise("E")
         initial = F.substring("c_mktsegment", 1, 1)
