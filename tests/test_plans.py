@@ -334,3 +334,19 @@ def test_rolling_daily(spark):
     data = [(d(f"2020-02-{day:02d}"),) for day in range(1, 10) for _ in range(day)]
     found = history.rolling_daily(spark.createDataFrame(data, "day date"), "day", "mean")
     assert [r[2] for r in rows(found)] == [1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.0, 5.0, 6.0]
+
+
+def test_timing_rows(spark):
+    found = report.timing_rows(spark, {"events": 1.5}).collect()
+    assert [tuple(r) for r in found] == [("events", "total_time", "1.500", "timing")]
+
+
+def test_run_stops_at_repeated_keys(spark):
+    from workload.jobs import run
+    from workload.views import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    r = run(t)
+    r.extract_key = ["person_id"]
+    with pytest.raises(ValueError, match="extract_id is not unique"):
+        r.extract

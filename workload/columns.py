@@ -26,12 +26,14 @@ def _(t: Tables):
 
 
 @query("unify_schema", """
-    SELECT CAST(o_custkey AS VARCHAR) AS person_id, NULL AS birth_date, NULL AS age, NULL AS sex,
+    SELECT CAST(o_custkey AS VARCHAR) AS person_id, CAST(NULL AS VARCHAR) AS birth_date,
+        CAST(NULL AS INTEGER) AS age, CAST(NULL AS VARCHAR) AS sex,
         'orders' AS dataset, o_orderstatus AS category, CAST(o_orderkey AS VARCHAR) AS record_id,
-        CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS record_start_date, NULL AS record_end_date,
-        NULL AS lsoa, NULL AS ethnicity, o_orderpriority AS code, NULL AS flag,
-        replace(o_orderpriority, '-', ',') AS code_array, NULL AS flag_assoc,
-        NULL AS record_id_assoc
+        CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS record_start_date,
+        CAST(NULL AS VARCHAR) AS record_end_date, CAST(NULL AS VARCHAR) AS lsoa,
+        CAST(NULL AS VARCHAR) AS ethnicity, o_orderpriority AS code, CAST(NULL AS VARCHAR) AS flag,
+        replace(o_orderpriority, '-', ',') AS code_array, CAST(NULL AS VARCHAR) AS flag_assoc,
+        CAST(NULL AS VARCHAR) AS record_id_assoc
     FROM orders""")
 def _(t: Tables):
     return shaping.unify_schema(
@@ -52,7 +54,7 @@ def _(t: Tables):
 @query("ensure_types", """
     SELECT event_id, CAST(user_id AS SMALLINT) AS user_id,
         TRY_CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS k,
-        NULL AS event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS ts FROM events""")
+        CAST(NULL AS INTEGER) AS event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS ts FROM events""")
 def _(t: Tables):
     rows = t.events.select(
         "event_id", "user_id", F.regexp_extract("props", "[0-9]+", 0).alias("k"), "event_type", "ts"
@@ -188,8 +190,9 @@ def _(t: Tables):
 
 
 @query("fill_missing_columns", """
-    SELECT o_custkey, NULL AS "AAA_on", CAST(CAST(max(o_orderdate) AS DATE) AS VARCHAR) AS "AF_on",
-        NULL AS "CKD_on" FROM orders GROUP BY o_custkey""")
+    SELECT o_custkey, CAST(NULL AS VARCHAR) AS "AAA_on",
+        CAST(CAST(max(o_orderdate) AS DATE) AS VARCHAR) AS "AF_on",
+        CAST(NULL AS VARCHAR) AS "CKD_on" FROM orders GROUP BY o_custkey""")
 def _(t: Tables):
     newest = t.orders.groupBy("o_custkey").agg(F.max(day("o_orderdate")).alias("AF"))
     return shaping.fill_missing_columns(newest, CONDITIONS[:3], "_on")

@@ -61,7 +61,7 @@ def _(t: Tables):
     SELECT o_custkey, CAST(CAST(max(o_orderdate) FILTER (o_orderstatus = 'F') AS DATE) AS VARCHAR)
             AS "F",
         CAST(CAST(max(o_orderdate) FILTER (o_orderstatus = 'P') AS DATE) AS VARCHAR) AS "P",
-        NULL AS "X"
+        CAST(NULL AS VARCHAR) AS "X"
     FROM orders GROUP BY o_custkey""")
 def _(t: Tables):
     rows = t.orders.select("o_custkey", "o_orderstatus", day("o_orderdate").alias("d"))

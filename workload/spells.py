@@ -61,11 +61,13 @@ def _(t: Tables):
     return latest.select("record_id", "lsoa")
 
 
+_BY_ORDER = """(SELECT order_no AS spell_id, record_id, record_start_date, ethnicity
+    FROM admitted_records) AS by_order"""
+
+
 @query("modal_value", f"""
     SELECT a.record_id, m.ethnicity FROM (SELECT record_id, order_no FROM admitted_records) a
-    LEFT JOIN ({_modal('(SELECT *, order_no AS spell_id FROM admitted_records) AS src'
-                       .replace('*,', '* EXCLUDE (spell_id),'), 'ethnicity', _UNKNOWN)}) m
-        ON a.order_no = m.spell_id""")
+    LEFT JOIN ({_modal(_BY_ORDER, 'ethnicity', _UNKNOWN)}) m ON a.order_no = m.spell_id""")
 def _(t: Tables):
     rows = t.admitted_records.select("record_id", "order_no", "record_start_date", "ethnicity")
     modal = spells.modal_value(
@@ -130,7 +132,7 @@ def _(t: Tables):
         record_id, CAST(record_start_date AS VARCHAR) AS record_start_date,
         CAST(record_end_date AS VARCHAR) AS record_end_date, lsoa, ethnicity, code, flag,
         array_to_string(code_array, ',') AS code_array, admission_method AS flag_assoc,
-        NULL AS record_id_assoc
+        CAST(NULL AS VARCHAR) AS record_id_assoc
     FROM episodes_all""")
 def _(t: Tables):
     return episode_events(episodes(t))
