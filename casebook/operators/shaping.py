@@ -85,7 +85,8 @@ def unify_schema(
     """Project a source onto a common schema in one select.
 
     Each target column is fed by a source column name, an expression, or None for null; targets
-    that are not mentioned are null. A target that is no column of the schema is an error.
+    that are not mentioned are null, and so are values that do not fit the target's type. A target
+    that is no column of the schema is an error.
     """
     unknown = set(mapping) - set(schema.names)
     if unknown:
@@ -94,7 +95,7 @@ def unify_schema(
     for field in schema:
         feed = mapping.get(field.name)
         source = F.col(feed) if isinstance(feed, str) else F.lit(None) if feed is None else feed
-        feeds.append(source.cast(field.dataType).alias(field.name))
+        feeds.append(source.try_cast(field.dataType).alias(field.name))
     return df.select(*feeds)
 
 
