@@ -166,6 +166,33 @@ class Words:
         return slice(self.firsts[k], self.firsts[k + 1])
 
 
+    def per_text(self, values: np.ndarray) -> np.ndarray:
+        """Sums per text of a value per word."""
+        sums = np.concatenate(([0], np.cumsum(values)))
+        return sums[self.firsts[1:]] - sums[self.firsts[:-1]]
+
+    def bytes_per_text(self, values: np.ndarray) -> np.ndarray:
+        """Sums per text of a value per byte; ``values`` is a table of 256."""
+        sums = np.concatenate(([0], np.cumsum(values[self.bytes])))
+        return np.diff(sums[self.text_ends], prepend=0)
+
+    def repeated(self, width: int) -> np.ndarray:
+        """Flags of the words in windows of ``width`` words that their text holds twice or more."""
+        out = np.zeros(len(self.hashes), bool)
+        windows = window_hashes(self.hashes, width)
+        if not len(windows):
+            return out
+        text = np.repeat(np.arange(len(self.text_ends)), np.diff(self.firsts))
+        inner = np.flatnonzero(text[: len(windows)] == text[width - 1 :])
+        own = mixed(windows[inner] ^ mixed(text[inner].astype(np.uint64) + np.uint64(1)))
+        order = np.argsort(own, kind="stable")
+        same = np.flatnonzero(own[order][1:] == own[order][:-1])
+        twice = inner[np.unique(np.concatenate((order[same], order[same + 1])))]
+        for k in range(width):
+            out[twice + k] = True
+        return out
+
+
 def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     """A hash for each window of so many neighbouring hashes; order counts."""
     n = len(hashes) - width + 1
