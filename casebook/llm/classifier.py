@@ -207,7 +207,7 @@ class Model:
 
     def weak(self, patterns: list[str]) -> list[float]:
         """Weak labels: the chance of being good."""
-        seen = np.array([["-0+".index(v) for v in p] for p in patterns]).reshape(len(patterns), len(LABELLERS))
+        seen = np.array([["-0+".index(v) for v in p] for p in patterns], int).reshape(len(patterns), len(LABELLERS))
         return self.labellers.kinds(seen)[:, 0].tolist()
 
 
