@@ -33,7 +33,9 @@ from casebook.llm.common import with_columns
 END = "\x00"
 #: Distinct words, and steps, a worker remembers before it starts anew.
 MEMORY = 500_000
-STEPS = 500_000
+STEPS, WAYS = 300_000, 300_000
+#: Letters of a word below which the ends of words are remembered.
+SHORT = 64
 #: Below this, which characters are letters does not depend on the version of Unicode.
 STABLE = "\u0250"
 
@@ -107,14 +109,16 @@ class Encoder:
 
     def __init__(self, automaton: Automaton, spec: bytes):
         self.automaton = automaton
-        self.letters = byte_letters()
+        self.letters = dict(enumerate(byte_letters()))
         self.find = regex.compile(automaton.pattern).findall
         self.specials = re.compile("(" + "|".join(map(re.escape, automaton.special)) + ")") if automaton.special else None
         self.splitter = Library.from_str(spec.decode())
         self.steps: dict[int, bool] = {}
+        self.ways: dict[tuple[int, str], bytes | None] = {}
         self.known: dict[str, bytes] = {}
         self.names = [automaton.labels.get(i, "") for i in range(max(automaton.labels) + 1)]
         self.size = len(self.names)
+        self.coded = [struct.pack("<I", i) for i in range(self.size)]
         self.root: dict = {}
         for name, i in automaton.ids.items():
             node = self.root
@@ -173,6 +177,34 @@ class Encoder:
                 path.pop()
         return path
 
+    def way(self, state: int, rest: str) -> bytes | None:
+        """The ids of the accepted path from a state over the rest of a word; None if there is none.
+
+        Words share their ends, so the answers are remembered. For short words only: it recurses.
+        """
+        key = state, rest
+        found = self.ways.get(key, 0)
+        if found != 0:
+            return found
+        found, n, size, steps, coded = None, len(rest), self.size, self.steps, self.coded
+        for end, arc in reversed(self.arcs(rest, 0)):
+            if state >= 0:
+                fits = steps.get(state * size + arc)
+                if not (self.step(state, arc) if fits is None else fits):
+                    continue
+            if end == n:
+                found = coded[arc]
+                break
+            tail = self.way(arc, rest[end:])
+            if tail is not None:
+                found = coded[arc] + tail
+                break
+        if state >= 0:
+            if len(self.ways) >= WAYS:
+                self.ways.clear()
+            self.ways[key] = found
+        return found
+
     def remember(self, text: str, found: bytes) -> bytes:
         if len(self.known) >= MEMORY:
             self.known.clear()
@@ -181,28 +213,36 @@ class Encoder:
         return found
 
     def word(self, word: str) -> bytes:
-        path = self.walk(word)
-        return struct.pack(f"<{len(path)}I", *path)
+        if len(word) < SHORT:
+            return self.way(-1, word + END)
+        return b"".join([self.coded[arc] for arc in self.walk(word)])
 
     def part(self, text: str) -> bytes:
         """Text without white space or special entries."""
         if text.isascii():
+            if text.isalpha():
+                return self.word(text.lower())
             words = self.find(text.lower())
             if len(words) == 1 and words[0] == text:
                 return self.spelled(text)
-            return b"".join([self.known.get(w) or self.remember(w, self.spelled(w)) for w in words])
+            get, learn = self.known.get, self.learn
+            return b"".join([get(w) or learn(w) for w in words])
         if max(text) < STABLE:
             # Letters one by one: a final sigma is no special case.
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-            return b"".join([self.spelled(w) for w in self.find(text)])
+            get, learn = self.known.get, self.learn
+            return b"".join([get(w) or learn(w) for w in self.find(text)])
         # Letters that some versions of Unicode do not know: split as the library's version does.
         normal = self.splitter.normalizer.normalize_str(text)
         return b"".join([self.word(w) for w, _ in self.splitter.pre_tokenizer.pre_tokenize_str(normal)])
 
+    def learn(self, word: str) -> bytes:
+        return self.remember(word, self.spelled(word))
+
     def spelled(self, word: str) -> bytes:
         if word.isascii() and word.isprintable():
             return self.word(word)
-        return self.word("".join([self.letters[b] for b in word.encode()]))
+        return self.word(word.encode().decode("latin-1").translate(self.letters))
 
     def chunk(self, text: str) -> bytes:
         if self.specials and "<|" in text:
