@@ -228,20 +228,26 @@ def shingle_sets(texts: Iterable[bytes | None], width: int) -> Iterator[np.ndarr
 def components(edges: DataFrame, name: str) -> DataFrame:
     """Connected components of edges (a, b): rows (id, component), the smallest id of each.
 
-    Smallest labels spread over edges, and every label then jumps to the label of its label, so
-    the rounds grow with the logarithm of a component's diameter. Each round is a written table.
-    Vertices without edges are not returned.
+    In a round every vertex moves to the smallest of its neighbours and itself, and on to where
+    that one moves; edges follow, and those within one place go. So the edges shrink fast, and the
+    rounds grow with the logarithm of a component's diameter. The smallest vertex never moves. Each
+    round is a written table. Vertices without edges are not returned.
     """
-    both = stored(
-        edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a != b").distinct(),
-        f"{name}-edges",
-    )
-    labels = stored(both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("component")), f"{name}-labels-0")
+    left = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), f"{name}-edges")
+    places = None
     for k in itertools.count(1):
-        near = both.join(labels, both.a == labels.id).groupBy(F.col("b").alias("id")).agg(F.min("component").alias("near"))
-        spread = labels.join(near, "id").select("id", "component", F.least("component", "near").alias("to"))
-        far = labels.select(F.col("id").alias("to"), F.col("component").alias("jump"))
-        new = stored(spread.join(far, "to").select("id", F.col("component").alias("was"), F.least("to", "jump").alias("component")), f"{name}-labels-{k}")
-        labels = new.select("id", "component")
-        if new.filter("was != component").isEmpty():
-            return labels
+        both = left.union(left.select("b", "a"))
+        near = both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("to"))
+        near = stored(near, f"{name}-near-{k}")
+        onward = near.select(F.col("id").alias("to"), F.col("to").alias("next"))
+        moves = stored(near.join(onward, "to").select("id", F.col("next").alias("to")), f"{name}-moves-{k}")
+        if places is None:
+            places = moves.withColumnRenamed("to", "component")
+        else:
+            moved = moves.withColumnRenamed("id", "component")
+            places = stored(places.join(moved, "component", "left").select("id", F.coalesce("to", "component").alias("component")), f"{name}-places-{k}")
+        ends = [moves.select(F.col("id").alias(c), F.col("to").alias(f"{c}2")) for c in ("a", "b")]
+        joined = left.join(ends[0], "a").join(ends[1], "b").filter("a2 != b2")
+        left = stored(joined.select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")).distinct(), f"{name}-edges-{k}")
+        if left.isEmpty():
+            return places
