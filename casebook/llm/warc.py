@@ -28,6 +28,8 @@ LEAST_REVISIT = 1000
 #: An archive file is closed after this size. A range is at most RANGE long, unless one record is
 #: longer, and spans gaps up to GAP.
 FILE_BYTES, RANGE, GAP = 256 << 20, 8 << 20, 64 << 10
+#: Archive bytes that one task reads, about.
+TASK_BYTES = 32 << 20
 LEVEL = 2
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -208,4 +210,7 @@ def read_records(selected: DataFrame, payload: bool = True) -> DataFrame:
                 names = [part.split()[0] for part in schema.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds)], names=names)
 
-    return ranges(selected).select("file", "start", "end", "records").mapInArrow(read, schema)
+    # The index is small and its archives are not, so their size sets the number of tasks.
+    size = selected.agg(F.sum("length")).first()[0] or 0
+    dealt = ranges(selected).repartition(max(1, -(-size // TASK_BYTES)), "file", "range")
+    return dealt.select("file", "start", "end", "records").mapInArrow(read, schema)
