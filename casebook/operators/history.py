@@ -17,9 +17,9 @@ def has_flag(flag: Column, others: Column, value: str) -> Column:
     )
 
 
-def conditional_history(
-    people: DataFrame,
+def history(
     events: DataFrame,
+    cutoffs: DataFrame,
     flags: Mapping[str, str],
     cutoff: str = "date_of_death",
     on: Sequence[str] = LINK,
@@ -27,11 +27,12 @@ def conditional_history(
     keep_nulls: bool = True,
     inclusive: bool = True,
 ) -> DataFrame:
-    """Add, per entry ``name: flag``, ``<name>_count`` and ``max_<name>_date``.
+    """One row per person with, per entry ``name: flag``, ``<name>_count`` and ``max_<name>_date``.
 
-    Events count up to the person's cut-off (all of them where it is null, with ``keep_nulls``).
-    Events are first summed per person and day; a person then brings at most one row per day to
-    the join, however many events there are.
+    Events count up to the person's cut-off; those of people without one count with ``keep_nulls``.
+    ``cutoffs`` holds keys and cut-offs, unique by key, and may leave people out. Events are first
+    summed per person and day; a person then brings at most one row per day to the join, however
+    many events there are.
     """
     found = {name: has_flag(F.col("flag"), F.col("flag_assoc"), f) for name, f in flags.items()}
     any_flag = F.lit(False)
@@ -42,38 +43,50 @@ def conditional_history(
         .groupBy(*on, day)
         .agg(*(F.count_if(condition).alias(f"_{name}") for name, condition in found.items()))
     )
-    dated = daily.join(people.select(*on, cutoff), list(on), "inner")
+    dated = daily.join(cutoffs.select(*on, cutoff), list(on), "left")
     early = F.col(day) <= F.col(cutoff) if inclusive else F.col(day) < F.col(cutoff)
     totals = []
     for name in flags:
         totals.append(F.sum(f"_{name}").alias(f"{name}_count"))
         totals.append(F.max(F.when(F.col(f"_{name}") > 0, F.col(day))).alias(f"max_{name}_date"))
-    history = (
-        dated.where(early | F.col(cutoff).isNull() if keep_nulls else early)
-        .groupBy(*on)
-        .agg(*totals)
-    )
-    return people.join(history, list(on), "left").fillna({f"{n}_count": 0 for n in flags})
+    kept = dated.where(early | F.col(cutoff).isNull() if keep_nulls else early)
+    return kept.groupBy(*on).agg(*totals)
 
 
-def flags_before_death(
-    people: DataFrame,
+def conditional_history(
+    people: DataFrame, events: DataFrame, flags: Mapping[str, str], cutoff: str = "date_of_death",
+    on: Sequence[str] = LINK, **options,
+) -> DataFrame:
+    """People with their :func:`history`; their own column is the cut-off, no events count 0."""
+    found = history(events, people, flags, cutoff, on, **options)
+    return people.join(found, list(on), "left").fillna({f"{n}_count": 0 for n in flags})
+
+
+def last_flags(
     events: DataFrame,
+    deaths: DataFrame,
     out: str = "died_within_30_days_hospitalisation_flags",
     death: str = "date_of_death",
     on: Sequence[str] = LINK,
     day: str = "record_start_date",
     days: int = 30,
 ) -> DataFrame:
-    """Add the sorted distinct flags of events in the days before death.
+    """One row per person who died with events in the days before: their sorted distinct flags.
 
-    Null without such an event, an empty array when their flags are all null. Events are reduced
-    to distinct (person, day, flag) first, so a set never holds more than the flag list.
+    The array is empty when all these flags are null. Events of the living fall out in the join,
+    before anything is grouped; a set never holds more than the flag list.
     """
-    distinct = events.select(*on, day, "flag").distinct()
-    recent = within_days(distinct, people, day, death, on, days)
-    sets = recent.groupBy(*on).agg(F.sort_array(F.collect_set("flag")).alias(out))
-    return people.join(sets, list(on), "left")
+    dead = deaths.where(F.col(death).isNotNull())
+    recent = within_days(events.select(*on, day, "flag"), dead, day, death, on, days)
+    return recent.groupBy(*on).agg(F.sort_array(F.collect_set("flag")).alias(out))
+
+
+def flags_before_death(
+    people: DataFrame, events: DataFrame, out: str = "died_within_30_days_hospitalisation_flags",
+    death: str = "date_of_death", on: Sequence[str] = LINK, **options,
+) -> DataFrame:
+    """People with their :func:`last_flags`, null for those without."""
+    return people.join(last_flags(events, people, out, death, on, **options), list(on), "left")
 
 
 def pivot_latest(

@@ -4,6 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casebook.functions.readings import priority_rank
 
@@ -28,7 +29,8 @@ def rows_at_best(
 ) -> DataFrame:
     """All rows whose ``value`` equals the key's ``best`` aggregate, ties kept.
 
-    With ``keep_null`` a key whose best is null keeps its null rows, as a rank would.
+    With ``keep_null`` a key whose best is null keeps its null rows, as a rank would. The input is
+    read twice, which suits a stored table: a derived one should be written first.
     """
     names = {k: f"_key_{i}" for i, k in enumerate(keys)}
     bests = df.groupBy(*keys).agg(best.alias("_best"))
@@ -93,20 +95,21 @@ def priority_source(
 ) -> DataFrame:
     """One value per key: newest date, then best source, then only if that is a single value.
 
-    Repeats of a value count once; ``legacy`` counts rows, so that a repeated value loses the key,
-    and sorts unknown sources first. A key whose best place holds no value or several is absent.
+    Repeats of a value count once, also those of several sources that share a place (unknown ones
+    do); the alphabetically last of these sources is named. ``legacy`` counts rows, so that a
+    repeated value loses the key, and sorts unknown sources first. A key whose best place holds no value or several is absent.
     The rows are first counted per distinct value, which leaves little to compare even for a key
     with very many rows.
     """
     tally = df.groupBy(*keys, day, source, value).agg(F.count("*").alias("_rows"))
-    times = F.col("_rows") if legacy else F.lit(1)
     held = F.col(value).isNotNull()
     place = priority_rank(F.col(source), order, legacy)
+    count = F.sum(F.when(held, F.col("_rows"))) if legacy else F.count_distinct(value)
     places = (
         tally.where(F.col(day).isNotNull())
         .groupBy(*keys, day, place.alias("_place"))
         .agg(
-            F.sum(F.when(held, times)).alias("_count"),
+            count.alias("_count"),
             F.max(F.when(held, F.col(source))).alias(source),
             F.max(value).alias(value),
         )
@@ -160,8 +163,9 @@ def dedup_ladder(
     """One extract row per key, by a ladder of rules in one sort.
 
     Newest extract (unless it is a key); newest journal entry; no nulls in ``no_nulls_in``; longest
-    journal; then ``tie_columns`` ascending with nulls last, and at the end a hash of the row, so
-    that rows alike in all of these still give a repeatable result. A rule that every remaining row
+    journal; then ``tie_columns`` ascending with nulls last, and at the end hashes of the whole row,
+    the journal included, so that the result does not depend on the order of rows: only rows alike
+    in everything are left to chance, and they are interchangeable. A rule that every remaining row
     of a key fails (a missing or empty journal, a null in ``no_nulls_in``) removes the key, so these
     are tested on the winner.
     """
@@ -174,7 +178,8 @@ def dedup_ladder(
             "_newest_entry": newest_entry,
             "_incomplete": incomplete,
             "_length": F.size(journal),
-            "_hash": F.xxhash64(*(c for c in df.columns if c != journal)),
+            "_hash": F.xxhash64(*df.columns),
+            "_hash2": F.hash(*df.columns),
         }
     )
     ladder = [
@@ -183,6 +188,7 @@ def dedup_ladder(
         F.col("_length").desc(),
         *(F.col(c).asc_nulls_last() for c in tie_columns),
         F.col("_hash").asc(),
+        F.col("_hash2").asc(),
     ]
     if extract_day not in keys:
         ladder.insert(0, F.col(extract_day).desc_nulls_last())
@@ -211,25 +217,45 @@ def dedup_latest_entry(
     newest: bool = True,
     ties: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per key from the newest (or oldest) extract; ``keys`` may hold an array column."""
+    """One row per key from the newest (or oldest) extract; ``keys`` may hold an array column.
+
+    Equal dates are decided by ``ties``, then by the remaining columns; see :func:`rest_of`.
+    """
     day = F.col(extract_day)
     order = [day.desc_nulls_last() if newest else day.asc_nulls_first()]
-    return first_per_key(df, keys, order + [F.col(c).asc_nulls_last() for c in ties])
+    order += [F.col(c).asc_nulls_last() for c in ties]
+    return first_per_key(df, keys, order + rest_of(df, [*keys, extract_day, *ties]))
+
+
+def rest_of(df: DataFrame, used: Sequence[str]) -> list[Column]:
+    """The columns not used yet, as a last order that makes a choice repeatable.
+
+    Columns that cannot be compared count by their hash.
+    """
+    left = [f for f in df.schema if f.name not in used]
+    plain = [F.col(f.name).asc_nulls_last() for f in left if not isinstance(f.dataType, T.MapType)]
+    hashed = [F.xxhash64(F.map_entries(f.name)).asc() for f in left if isinstance(f.dataType, T.MapType)]
+    return plain + hashed
 
 
 def first_or_last(
     df: DataFrame, keys: Sequence[str], day: str, last: bool = True, ties: Sequence[str] = ()
 ) -> DataFrame:
-    """The first or the last row of each key by date."""
+    """The first or the last row of each key by date; equal dates as in :func:`dedup_latest_entry`."""
     return dedup_latest_entry(df, keys, day, newest=last, ties=ties)
 
 
 def latest_with_start(
     df: DataFrame, keys: Sequence[str], day: str, start: str, ties: Sequence[str] = ()
 ) -> DataFrame:
-    """The last row of each key, together with the key's first date, in one aggregate."""
+    """The last row of each key, together with the key's first date, in one aggregate.
+
+    Equal dates are decided by the largest ``ties``, then by the largest remaining columns.
+    """
     others = [c for c in df.columns if c not in keys]
-    rank = F.struct(F.col(day), *(F.col(c) for c in ties))
+    maps = [f.name for f in df.schema if isinstance(f.dataType, T.MapType)]
+    rest = [c for c in others if c not in (day, *ties) and c not in maps]
+    rank = F.struct(F.col(day), *(F.col(c) for c in [*ties, *rest]))
     both = df.groupBy(*keys).agg(
         F.max_by(F.struct(*others), rank).alias("_last"), F.min(day).alias(start)
     )

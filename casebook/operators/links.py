@@ -11,25 +11,19 @@ from pyspark.sql import functions as F
 
 from casebook.functions import dates
 
-# How many shuffle keys rows without a link key are spread over.
-NULL_SPREAD = 1024
-
-
-def attach(
-    df: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequence[str]
-) -> DataFrame:
+def attach(df: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join with a side that is unique by key, for keys that may be null.
 
-    Rows with a null key never match but would all meet in one task. They get a second join key
-    hashed from ``spread_by`` (a record id, say) and so spread out.
+    Rows with a null key never match and would all meet in one task, so they take no part in the
+    join: they get nulls and are not shuffled.
     """
     lacking = F.lit(False)
     for c in on:
         lacking = lacking | F.col(c).isNull()
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(NULL_SPREAD)).cast("int")
-    left = df.withColumn("_spread", F.when(lacking, spread).otherwise(0))
-    right = right.withColumn("_spread", F.lit(0))
-    return left.join(right, [*on, "_spread"], "left").drop("_spread")
+    joined = df.where(~lacking).join(right, [*on], "left")
+    added = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name not in on]
+    rest = df.where(lacking).select("*", *added)
+    return joined.unionByName(rest)
 
 
 def link_inner(

@@ -31,6 +31,13 @@ def max_entries_check(df: DataFrame, keys: Sequence[str], most: int = 3) -> Data
     return counts.agg((largest <= most).alias("within_limit"), largest.alias("largest"))
 
 
+def require_at_most(df: DataFrame, keys: Sequence[str], most: int, what: str) -> DataFrame:
+    """Raise if a key has more than ``most`` rows, else return the frame. This runs a job."""
+    if not df.groupBy(*keys).count().where(F.col("count") > most).isEmpty():
+        raise ValueError(f"{what}: more than {most} rows for one {', '.join(keys)}")
+    return df
+
+
 def count_by(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per value of each column, as (criterion, value, rows), from one pass.
 

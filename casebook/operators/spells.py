@@ -18,17 +18,12 @@ from casebook.operators.latest import match_keys
 from casebook.operators.links import attach
 from casebook.operators.shaping import null_if_in as null_columns
 
-# A spell with more episodes than this keeps its ids in ``spell_members`` only.
-MAX_MEMBERS = 1_000_000
-
-
 def spell_bounds(
     df: DataFrame,
     spell_id: str = "spell_id",
     start: str = "admission_date",
     end: str = "discharge_date",
     out: tuple[str, str] = ("spell_start", "spell_end"),
-    record_id: str = "record_id",
     placeholders: Iterable[str] = PLACEHOLDER_DATES,
     bad_ids: Iterable[str] = (PLACEHOLDER_SPELL_ID,),
 ) -> DataFrame:
@@ -45,7 +40,7 @@ def spell_bounds(
         .groupBy(spell_id)
         .agg(F.min(start).alias(out[0]), F.max(end).alias(out[1]))
     )
-    return attach(clean, bounds, [spell_id], [record_id])
+    return attach(clean, bounds, [spell_id])
 
 
 def _newest_first(day: str, *ties: str) -> Column:
@@ -130,16 +125,15 @@ def collapse_spell(
     end: str = "spell_end",
     first_row: Sequence[str] = ("sex", "dataset"),
     modal: Mapping[str, Iterable[str]] | None = None,
-    max_members: int = MAX_MEMBERS,
 ) -> DataFrame:
     """One row per spell.
 
     Sorted distinct episode ids, codes and flags; all diagnosis codes as ``all_codes``; newest area
     code; most frequent valid birth date, person and ethnicity; other columns from the first
-    episode. Codes and flags come from fixed lists, so their sets stay small. Episode ids do not: a
-    spell with more than ``max_members`` rows gets a null id array, and :func:`spell_members` holds
-    its ids in full. Counting the rows reads one column. The list of such spells can be broadcast:
-    each stands for more than ``max_members`` rows, so there are at most rows / ``max_members``.
+    episode. Codes and flags come from fixed lists, so their sets stay small; the codes of the code
+    arrays are reduced to distinct (spell, code) pairs before they are collected. The ids of a spell
+    are the feature and are listed in full, whatever their number; :func:`spell_members` holds the
+    same ids as rows.
     """
     if modal is None:
         modal = {
@@ -148,32 +142,25 @@ def collapse_spell(
             "ethnicity": UNKNOWN_ETHNICITY,
         }
     episodes = df.withColumns({c: F.col(c).cast("string") for c in (spell_id, record_id)})
-    oversize = (
-        episodes.groupBy(spell_id)
-        .agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") > max_members)
-        .select(spell_id, F.lit(True).alias("_oversize"))
-    )
-    marked = episodes.join(F.broadcast(oversize), [spell_id], "left")
-    small = F.col("_oversize").isNull()
+    pairs = episodes.select(spell_id, F.explode("code_array").alias("_code")).distinct()
+    all_codes = pairs.groupBy(spell_id).agg(F.array_sort(F.collect_list("_code")).alias("all_codes"))
     earliest = F.struct(F.coalesce(F.col(day), F.lit("9999-12-31").cast("date")), record_id)
-    spells = marked.groupBy(spell_id).agg(
+    spells = episodes.groupBy(spell_id).agg(
         F.min(start).alias(start),
         F.max(end).alias(end),
-        F.when(
-            F.max(small), F.array_sort(F.collect_set(F.when(small, F.col(record_id))))
-        ).alias(record_id),
+        F.array_sort(F.collect_set(record_id)).alias(record_id),
         F.array_sort(F.collect_set("code")).alias("code"),
         F.array_sort(F.collect_set("flag")).alias("flag"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("code_array")))).alias("all_codes"),
         F.min_by(
             "lsoa", F.when(F.col("lsoa").isNotNull(), _newest_first(day, "lsoa"))
         ).alias("lsoa"),
         F.min_by(F.struct(*first_row), earliest).alias("_first"),
     )
     people = modal_values(episodes, [spell_id], day, modal)
-    whole = spells.join(people, [spell_id], "left")
-    return whole.select(*(c for c in whole.columns if c != "_first"), "_first.*")
+    whole = spells.join(all_codes, [spell_id], "left").join(people, [spell_id], "left")
+    codes = F.coalesce("all_codes", F.array().cast("array<string>")).alias("all_codes")
+    kept = (codes if c == "all_codes" else c for c in whole.columns if c != "_first")
+    return whole.select(*kept, "_first.*")
 
 
 def summarise_multi(

@@ -39,23 +39,39 @@ def broken_rules(
 
     Rules on columns count 1 when broken. One pass over each table.
     """
+    return broken_event_rules(events, labels, events_dropped).unionByName(
+        broken_patient_rules(patients, patients_dropped)
+    )
+
+
+def broken_event_rules(
+    events: DataFrame, labels: Labels = LABELS, dropped: Sequence[str] = ("birth_date",)
+) -> DataFrame:
+    """The rules about events."""
     hospital = F.col("dataset") == labels.admitted
-    counts = events.agg(
-        F.count_if(~F.col("dataset").isin(list(labels.datasets))).alias("events_dataset"),
-        F.count_if(~F.col("category").isin(list(labels.categories))).alias("events_category"),
-        F.count_if(hospital & (F.col("flag") == NO_MATCH)).alias("events_flag"),
-        F.lit(sum(c in events.columns for c in events_dropped)).alias("events_columns"),
+    return _rules(
+        events.agg(
+            F.count_if(~F.col("dataset").isin(list(labels.datasets))).alias("events_dataset"),
+            F.count_if(~F.col("category").isin(list(labels.categories))).alias("events_category"),
+            F.count_if(hospital & (F.col("flag") == NO_MATCH)).alias("events_flag"),
+            F.lit(sum(c in events.columns for c in dropped)).alias("events_columns"),
+        )
     )
+
+
+def broken_patient_rules(patients: DataFrame, dropped: Sequence[str] = ()) -> DataFrame:
+    """The rules about patients."""
     if "birth_year" in patients.columns:
         bad_year = F.count_if(~F.col("birth_year").rlike("^[0-9]{4}$"))
     else:
         bad_year = F.count("*")
-    dropped = [*patients_dropped, "birth_date"]
-    people = patients.agg(
-        bad_year.alias("patients_birth_year"),
-        F.lit(sum(c in patients.columns for c in dropped)).alias("patients_columns"),
+    gone = [*dropped, "birth_date"]
+    return _rules(
+        patients.agg(
+            bad_year.alias("patients_birth_year"),
+            F.lit(sum(c in patients.columns for c in gone)).alias("patients_columns"),
+        )
     )
-    return _rules(counts).unionByName(_rules(people))
 
 
 def _rules(row: DataFrame) -> DataFrame:

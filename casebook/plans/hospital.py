@@ -10,6 +10,7 @@ from casebook.functions.codes import flag_by_primary_or_any
 from casebook.functions.values import split_codes
 from casebook.operators.filters import primary_code_filter
 from casebook.operators.links import eligible_only, link_inner, link_left
+from casebook.operators.quality import require_unique
 from casebook.operators.shaping import (
     add_source_label,
     concat_code_columns,
@@ -39,7 +40,8 @@ def hospital_extract(
     """Episodes of several years with their identifiers and, for admissions, spell ids.
 
     Each of ``main``, ``sensitive`` and ``spells`` is an (old store, new store) pair of yearly
-    tables. ``sensitive_start`` reads fewer years of identifiers.
+    tables. ``sensitive_start`` reads fewer years of identifiers. A spell id table that repeats an
+    episode would multiply it, so its keys are checked (this runs a job) and a repeat raises.
     """
     records = union_yearly(*main, start, end, renames=renames)
     first = start if sensitive_start is None else sensitive_start
@@ -48,6 +50,7 @@ def hospital_extract(
     if spells is None:
         return linked
     ids = union_yearly(*spells, start, end, columns=spell_columns, renames=renames)
+    require_unique(ids, [spell_columns[0]], "spell ids")
     return link_left(linked, ids, [spell_columns[0]])
 
 
@@ -60,7 +63,6 @@ def hospital_prep(
     numbered_prefix: str | None = None,
     coded_only: bool = False,
     eligible: DataFrame | None = None,
-    record_id: str = "record_id",
     legacy: bool = False,
 ) -> DataFrame:
     """Codes cleaned and listed; for admissions also outcome flags and spell dates.
@@ -77,7 +79,7 @@ def hospital_prep(
     listed = clean.withColumn(code_list, split_codes(F.col(code_list)))
     if admitted:
         flag = flag_by_primary_or_any(F.col(code), F.col(code_list), legacy=legacy)
-        listed = spell_bounds(listed.withColumn("flag", flag), record_id=record_id)
+        listed = spell_bounds(listed.withColumn("flag", flag))
     full = restore_full_code(listed, code)
     full = full.withColumnsRenamed({code: "code", code_list: "code_array"})
     if eligible is not None:

@@ -25,7 +25,8 @@ from casebook.functions.readings import (
 from casebook.functions.values import hash_key
 from casebook.operators.filters import age_between, plausible_readings
 from casebook.operators.history import initial_people, min_pair, pivot_latest, resolved_latest
-from casebook.operators.latest import latest_version, latest_with_start
+from casebook.operators.latest import latest_with_start
+from casebook.operators.quality import require_at_most
 from casebook.operators.shaping import add_source_label, fill_missing_columns
 
 
@@ -77,7 +78,14 @@ def blood_pressure(
     )
     keys = [*LINK, "extract_date", "journal_date"]
     lowest = min_pair(plausible, keys, "systolic", "diastolic", others)
-    newest = latest_version(lowest, [*LINK, "journal_date"], "extract_date")
+    # One pair per person, extract and day, so the newest extract of a day is a single row.
+    rest = [c for c in lowest.columns if c not in (*LINK, "journal_date", "extract_date")]
+    newest = (
+        lowest.groupBy(*LINK, "journal_date")
+        .agg(F.max(F.struct("extract_date", *rest)).alias("_newest"))
+        .select(*LINK, "journal_date", "_newest.*")
+        .select(*lowest.columns)
+    )
     band = risk_band(F.col("age"), F.col("systolic"), F.col("diastolic"))
     key = hash_key(*LINK, "journal_date")
     return add_source_label(newest.withColumns({"flag": band, "record_id": key}), dataset)
@@ -93,3 +101,8 @@ def smoking(journal: DataFrame, statuses: Mapping[str, Iterable[str]]) -> DataFr
 def smoking_periods(status: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
     """The last row of each person and status, with the date the status was first seen."""
     return latest_with_start(status, [*LINK, "flag"], "journal_date", "record_start_date", ties)
+
+
+def checked_periods(periods: DataFrame, most: int = 3) -> DataFrame:
+    """The (stored) periods, if no person has more than ``most``; else an error. Runs a job."""
+    return require_at_most(periods, LINK, most, "smoking periods")

@@ -8,7 +8,7 @@ from casebook.constants import CONDITIONS, DIED_UNDER_75, LINK
 from casebook.functions.dates import under_age_label
 from casebook.functions.readings import risk_default
 from casebook.operators.filters import events_of
-from casebook.operators.history import conditional_history, flags_before_death
+from casebook.operators.history import history, last_flags
 from casebook.operators.latest import keep_latest
 from casebook.operators.links import enrich_left, within_months
 from casebook.operators.shaping import unify_schema
@@ -54,6 +54,22 @@ def base(events: DataFrame, labels: Labels = LABELS) -> DataFrame:
     )
 
 
+def risk_bands(
+    readings: DataFrame,
+    people: DataFrame,
+    extract_day: str = "latest_extract_date",
+    out: str = "hyp_risk_group",
+    months: int = 12,
+) -> DataFrame:
+    """Band of each person's newest reading in the year before their extract.
+
+    There is one reading per person and day, so the newest is a single row.
+    """
+    recent = within_months(readings, people, "record_start_date", extract_day, LINK, months)
+    dated = recent.where(F.col("record_start_date").isNotNull())
+    return dated.groupBy(*LINK).agg(F.max_by("flag", "record_start_date").alias(out))
+
+
 def assign_risk(
     people: DataFrame,
     readings: DataFrame,
@@ -62,34 +78,44 @@ def assign_risk(
     out: str = "hyp_risk_group",
     months: int = 12,
 ) -> DataFrame:
-    """Band of the newest reading in the year before a person's extract, or a default."""
-    recent = within_months(readings, people, "record_start_date", extract_day, LINK, months)
-    newest = keep_latest(recent, LINK, "record_start_date")
-    bands = newest.select(*LINK, F.col("flag").alias(out))
-    return people.join(bands, list(LINK), "left").withColumn(
-        out, risk_default(F.col(diagnosed), F.col(out))
-    )
+    """People with the band of :func:`risk_bands`, or a default."""
+    bands = risk_bands(readings, people, extract_day, out, months)
+    joined = people.join(bands, list(LINK), "left")
+    return joined.withColumn(out, risk_default(F.col(diagnosed), F.col(out)))
 
 
 def patient(
-    events: DataFrame, diagnoses: DataFrame, demographics: DataFrame, labels: Labels = LABELS
+    events: DataFrame,
+    diagnoses: DataFrame,
+    demographics: DataFrame,
+    labels: Labels = LABELS,
+    first: DataFrame | None = None,
 ) -> DataFrame:
-    """The patient table. Every join is on the person key, so one partitioning serves all."""
+    """The patient table, from one aggregate per person and kind of event.
+
+    Each aggregate meets narrow cut-offs (keys with the date of death, or of the extract), and all
+    are joined once at the end, on the person key. ``first`` is a stored :func:`base`.
+    """
+    first = base(events, labels) if first is None else first
     died = events_of(events, labels.deaths, labels.deaths_category).select(
         *LINK,
         F.col("record_start_date").alias("date_of_death"),
         F.col("flag").alias("death_flag"),
     )
     ethnicity = demographics.select(*LINK, "ethnicity")
-    people = enrich_left(base(events, labels), ethnicity, died, diagnoses, on=LINK)
-    young = under_age_label(
-        F.col("birth_date"), F.col("date_of_death"), 75, DIED_UNDER_75, F.col("death_flag")
-    )
-    people = people.withColumn("death_age_flag", young)
     spells = events_of(events, labels.admitted, labels.spell_category)
-    people = conditional_history(people, spells, HISTORY_FLAGS)
     episodes = events_of(events, labels.admitted, labels.episode_category)
-    people = flags_before_death(people, episodes)
     readings = events_of(events, labels.readings, labels.readings_category)
-    people = assign_risk(people, readings)
+    people = enrich_left(
+        first, ethnicity, died, diagnoses,
+        history(spells, died, HISTORY_FLAGS), last_flags(episodes, died),
+        risk_bands(readings, first.select(*LINK, "latest_extract_date")),
+        on=LINK,
+    )
+    young = under_age_label(
+        F.col("birth_date"), F.col("date_of_death"), 75, DIED_UNDER_75, F.col("death_flag")
+    )
+    band = risk_default(F.col("HTN_diagnosis_date"), F.col("hyp_risk_group"))
+    people = people.withColumns({"death_age_flag": young, "hyp_risk_group": band})
+    people = people.fillna({f"{name}_count": 0 for name in HISTORY_FLAGS})
     return unify_schema(people, {n: n for n in PATIENT_SCHEMA.names}, PATIENT_SCHEMA)

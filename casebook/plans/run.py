@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from casebook.constants import FIRST_READING_DATE, LINK
 from casebook.operators.quality import require_unique
+from casebook.operators.spells import spell_members
 from casebook.plans import cohort as cohort_plan
 from casebook.plans import curation, journal
 from casebook.plans import demographic as demographic_plan
@@ -21,9 +22,18 @@ from casebook.plans.labels import LABELS, Labels
 from casebook.session import shared_dir
 from casebook.sources.writers import write_table
 
+
+def _ruled(df: DataFrame, broken: DataFrame) -> DataFrame:
+    """The frame, unless rows of it break a rule."""
+    found = broken.where("rows > 0").select("rule").collect()
+    if found:
+        raise RuntimeError(f"rules of sharing are broken: {', '.join(sorted(r.rule for r in found))}")
+    return df
+
+
 PRODUCTS = (
     "extract", "clean_extract", "cohort", "journal", "people", "episodes", "deaths", "readings",
-    "diagnoses", "events", "demographic", "patient", "curated_events", "curated_patients",
+    "diagnoses", "events", "spell_members", "demographic", "patient_base", "patient", "curated_events", "curated_patients",
     "report", "metrics",
 )
 
@@ -155,19 +165,33 @@ class Run:
     @cached_property
     def patient(self) -> DataFrame:
         """The patient table."""
-        df = patient_plan.patient(self.events, self.diagnoses, self.demographic, self.labels)
+        df = patient_plan.patient(
+            self.events, self.diagnoses, self.demographic, self.labels, self.patient_base
+        )
         return self._keep("patient", df, LINK)
 
+    @cached_property
+    def patient_base(self) -> DataFrame:
+        """The newest cohort event of each person."""
+        return self._keep("patient_base", patient_plan.base(self.events, self.labels))
+
+    @cached_property
+    def spell_members(self) -> DataFrame:
+        """The episodes of each spell as rows."""
+        return self._keep("spell_members", spell_members(self.episodes))
+
     @cached_property
     def curated_events(self) -> DataFrame:
-        """Events for sharing."""
-        return self._keep("curated_events", curation.curated_events(self.events, self.labels))
+        """Events for sharing; broken rules raise."""
+        df = self._keep("curated_events", curation.curated_events(self.events, self.labels))
+        return _ruled(df, curation.broken_event_rules(df, self.labels))
 
     @cached_property
     def curated_patients(self) -> DataFrame:
-        """Patients for sharing."""
+        """Patients for sharing; broken rules raise."""
         df = curation.curated_patients(self.patient)
-        return self._keep("curated_patients", df, ["patient_key"])
+        written = self._keep("curated_patients", df, ["patient_key"])
+        return _ruled(written, curation.broken_patient_rules(written))
 
     @cached_property
     def report(self) -> DataFrame:
@@ -180,9 +204,10 @@ class Run:
 
     @cached_property
     def metrics(self) -> DataFrame:
-        """Counts of the products."""
+        """Counts of the products, times of the writes so far, and rows about the whole run."""
         df = report_plan.run_metrics(self.events, self.patient, self.demographic)
-        return self._keep("metrics", df)
+        times = report_plan.timing_rows(df.sparkSession, self.seconds)
+        return self._keep("metrics", df.unionByName(times))
 
     def all(self) -> dict[str, DataFrame]:
         """Every product by name."""

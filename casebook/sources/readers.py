@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casebook.operators.shaping import rename_map, union_all
+from casebook.sources.writers import hard_cache
 
 # Yearly tables starting before this two-digit year come from the old store.
 NEW_STORE_YEAR = 21
@@ -39,6 +40,13 @@ def yearly_tables(spark: SparkSession, database: str, prefix: str) -> dict[str,
     return {m.group(1): spark.table(f"{database}.{n}") for n, m in found.items() if m}
 
 
+def by_year(df: DataFrame, column: str) -> dict[int, DataFrame]:
+    """The rows of each year that occurs, from a copy stored by year: a year reads only its own."""
+    kept = hard_cache(df.where(F.col(column).isNotNull()), "years", [column])
+    years = [r[0] for r in kept.select(column).distinct().collect()]
+    return {int(y): kept.where(F.col(column) == y).select(*df.columns) for y in sorted(years)}
+
+
 def union_yearly(
     old: Mapping[str, DataFrame],
     new: Mapping[str, DataFrame],

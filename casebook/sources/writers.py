@@ -32,9 +32,9 @@ def write_table(
     return df.sparkSession.table(target)
 
 
-def hard_cache(df: DataFrame, name: str) -> DataFrame:
+def hard_cache(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write to the shared folder and read back: a cut in the lineage that outlives executors."""
-    return write_table(df, shared_dir(df.sparkSession, name))
+    return write_table(df, shared_dir(df.sparkSession, name), partition_by=partition_by)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -149,3 +149,30 @@ def test_results_do_not_depend_on_partitions(spark):
     many = everything()
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert one == many
+
+
+def test_unknown_sources_that_agree_share_their_value(spark):
+    data = [("a", "2020-01-01", "x", "A"), ("a", "2020-01-01", "y", "A"), ("b", "2020-01-01", "x", "A"),
+            ("b", "2020-01-01", "y", "B")]
+    df = spark.createDataFrame(data, "pid string, day string, source string, v string")
+    found = latest.priority_source(df, LINK, "day", "source", "v", ["journal"])
+    assert rows(found, "pid", "source", "v") == [("a", "y", "A")]
+
+
+def test_ladder_does_not_depend_on_the_order_of_rows(spark):
+    schema = "pid string, extract date, journal array<struct<day: date, code: string>>, area string"
+    one = ("a", d("2020-03-31"), [(d("2020-01-01"), "x")], "E1")
+    two = ("a", d("2020-03-31"), [(d("2020-01-01"), "y")], "E1")
+    winners = {
+        str(latest.dedup_ladder(spark.createDataFrame(data, schema).coalesce(1), LINK, "extract", "journal", "day", ["area"]).collect())
+        for data in ([one, two], [two, one])
+    }
+    assert len(winners) == 1
+
+
+@pytest.mark.parametrize("pick", [latest.dedup_latest_entry, latest.first_or_last, lambda *a: latest.latest_with_start(*a, "first")])
+def test_equal_dates_are_decided_without_ties(spark, pick):
+    schema = "pid string, day date, v string, codes array<string>"
+    one, two = ("a", d("2020-01-01"), "x", ["p"]), ("a", d("2020-01-01"), "x", ["q"])
+    winners = {str(pick(spark.createDataFrame(data, schema).coalesce(1), LINK, "day").collect()) for data in ([one, two], [two, one])}
+    assert len(winners) == 1

@@ -9,7 +9,7 @@ from casebook.constants import CONDITIONS, LINK
 from casebook.operators import filters, history, links, quality, shaping
 from casebook.plans import curation, deaths, demographic, events, journal, patient, report
 from casebook.plans.cohort import clean_extract, extract, journal_table
-from casebook.plans.hospital import hospital_prep
+from casebook.plans.hospital import hospital_extract, hospital_prep
 from casebook.plans.labels import LABELS
 
 JOURNAL = (
@@ -338,7 +338,57 @@ def test_rolling_daily(spark):
 
 def test_timing_rows(spark):
     found = report.timing_rows(spark, {"events": 1.5}).collect()
-    assert [tuple(r) for r in found] == [("events", "total_time", "1.500", "timing")]
+    assert [tuple(r) for r in found] == [
+        ("events", "total_time", "1.500", "timing"),
+        ("pipeline", "total_time", "1.500", "pipeline_stats"),
+        ("pipeline", "stages", "1", "pipeline_stats"),
+    ]
+
+
+def test_broken_rules_stop_a_run(spark):
+    from casebook.plans import run
+
+    broken = spark.createDataFrame([("a", 0), ("b", 2)], "rule string, rows long")
+    with pytest.raises(RuntimeError, match="b"):
+        run._ruled(broken, broken)
+    assert run._ruled(broken, broken.where("rows = 0")) is broken
+
+
+def test_repeated_spell_ids_raise(spark):
+    rows = spark.createDataFrame([("e1", "k1", 2020)], "record_id string, link string, fyear int")
+    people = spark.createDataFrame([("k1", "p1", 2020)], "link string, person_id string, fyear int")
+    ids = spark.createDataFrame([("e1", "s1", 2020), ("e1", "s2", 2020)], "record_id string, spell_id string, fyear int")
+    with pytest.raises(ValueError, match="spell ids"):
+        hospital_extract(
+            ({"2021": rows}, {}), ({"2021": people}, {}), 20, 22, "link", columns=["record_id", "link"],
+            spells=({"2021": ids}, {}), spell_columns=("record_id", "spell_id"),
+        )
+
+
+def test_more_smoking_periods_than_statuses_raise(spark):
+    rows = [("p", d("1950-01-01"), str(k)) for k in range(4)]
+    df = spark.createDataFrame(rows, "person_id string, birth_date date, flag string")
+    with pytest.raises(ValueError, match="smoking"):
+        journal.checked_periods(df)
+    assert journal.checked_periods(df.limit(3)).count() == 3
+
+
+def test_patient_reads_each_product_once_per_branch(spark, tmp_path):
+    """The last step scans the events once for each kind, and nothing twice."""
+    from casebook.operators.shaping import EVENT_SCHEMA
+    from casebook.plans.patient import patient
+
+    path = str(tmp_path / "events")
+    spark.createDataFrame([], EVENT_SCHEMA).write.partitionBy("dataset", "category").parquet(path)
+    stored = spark.read.schema(EVENT_SCHEMA).parquet(path)
+    conditions = ", ".join(f"{c}_diagnosis_date date" for c in CONDITIONS)
+    people = "person_id string, birth_date date"
+    diagnoses = spark.createDataFrame([], f"{people}, {conditions}")
+    first = spark.createDataFrame([], f"{people}, latest_extract_date date, latest_practice_identifier string, sex string, lsoa string, cohort string")
+    table = patient(stored, diagnoses, spark.createDataFrame([], f"{people}, ethnicity string"), first=first)
+    text = table._jdf.queryExecution().executedPlan().toString()
+    # Deaths three times (the person's, and as a cut-off for spells and for episodes).
+    assert 0 < text.count("FileScan parquet") <= 6
 
 
 def test_run_stops_at_repeated_keys(spark):

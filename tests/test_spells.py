@@ -82,14 +82,14 @@ def test_summarise_single_flags(spark):
     assert found == [("MULTIPLE", "A", ["A", "NO_CVD"]), ("NO_CVD", "NO_CVD", None), (None, "A", None)]
 
 
-def test_oversize_spell_keeps_its_members_in_the_long_form(spark):
-    data = [episode(f"{i:03d}", "hot", "2020-01-01") for i in range(50)]
+def test_large_spell_keeps_all_its_members(spark):
+    data = [episode(f"{i:05d}", "hot", "2020-01-01") for i in range(20_000)]
     data += [episode("x", "cold", "2020-01-01")]
     df = spark.createDataFrame(data, EPISODE)
-    wide = {r.spell_id: r for r in spells.collapse_spell(df, max_members=10).collect()}
-    assert wide["hot"].record_id is None and wide["hot"].code == ["I21"]
+    wide = {r.spell_id: r for r in spells.collapse_spell(df).collect()}
+    assert wide["hot"].record_id == [f"{i:05d}" for i in range(20_000)] and wide["hot"].code == ["I21"]
     assert wide["cold"].record_id == ["x"]
-    assert spells.spell_members(df).where("spell_id = 'hot'").count() == 50
+    assert spells.spell_members(df).where("spell_id = 'hot'").count() == 20_000
 
 
 def test_episode_methods(spark):

@@ -48,10 +48,11 @@ def _(t: Tables):
     )
 
 
-@query("ref_map_inner", f"""
-    SELECT p.p_partkey, r.p_brand FROM part p JOIN ({_REF}) r ON p.p_name = r.p_name""")
+@query("ref_map_inner", """
+    SELECT p.p_partkey, r.p_brand
+    FROM part p JOIN (SELECT DISTINCT p_name, p_brand FROM part) r ON p.p_name = r.p_name""")
 def _(t: Tables):
-    ref = t.part.where("p_size > 25").select(F.col("p_name").alias("ref_code"), "p_brand")
+    ref = t.part.select(F.col("p_name").alias("ref_code"), "p_brand")
     rows = t.part.select("p_partkey", "p_name")
     return links.ref_map_inner(rows, ref, "p_name", "ref_code").drop("p_name")
 

@@ -50,16 +50,6 @@ class Tables:
         setattr(self, name, table)
         return table
 
-    def spread(self, name: str, *keys: str) -> DataFrame:
-        """A given table for work that is heavy per row.
-
-        A table in fewer files than cores may be a single row group, which one task reads and works
-        on; its rows are then spread over the cores first. Larger tables are read as they are.
-        """
-        df = getattr(self, name)
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
-
     @cached_property
     def person(self) -> DataFrame:
         """Customers as people, with ten-digit ids (some of them invalid)."""
@@ -85,8 +75,7 @@ class Tables:
     @cached_property
     def order_person(self) -> DataFrame:
         """Orders with their person."""
-        orders = self.spread("orders", "o_orderkey")
-        return orders.join(self.person, F.col("o_custkey") == F.col("person_no"))
+        return self.orders.join(self.person, F.col("o_custkey") == F.col("person_no"))
 
     @cached_property
     def line_person(self) -> DataFrame:
@@ -95,7 +84,7 @@ class Tables:
             "-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", whole("l_quantity"),
             day("l_shipdate"),
         )
-        lines = self.spread("lineitem", "l_orderkey").withColumn("line_key", key)
+        lines = self.lineitem.withColumn("line_key", key)
         return lines.join(self.order_person, F.col("l_orderkey") == F.col("o_orderkey"))
 
     @cached_property
@@ -185,7 +174,7 @@ class Tables:
         key = F.concat_ws(
             "-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", quantity, ship
         )
-        rows = self.spread("lineitem", "l_orderkey").join(self.part, F.col("l_partkey") == F.col("p_partkey"))
+        rows = self.lineitem.join(self.part, F.col("l_partkey") == F.col("p_partkey"))
         return rows.select(
             key.alias("record_id"),
             F.col("l_orderkey").alias("order_no"),
@@ -223,7 +212,7 @@ class Tables:
 
     @cached_property
     def deaths_raw(self) -> DataFrame:
-        """Urgent pending orders as death registrations."""
+        """Orders as death registrations; most are not current, cancelled or from elsewhere."""
         price, died = F.col("o_totalprice"), day("o_orderdate")
         month = F.month(died)
         code = (
@@ -231,8 +220,9 @@ class Tables:
             .otherwise("C349")
         )
         urgent = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
+        current = urgent & (price <= 450000)
         registered = F.date_add(died, F.floor(price / 20000).cast("int"))
-        return self.order_person.where(urgent).select(
+        return self.order_person.select(
             F.col("o_orderkey").cast("string").alias("death_id"),
             F.when(price < 250000, F.col("person_id")).alias("confirmed_id"),
             F.when(price < 480000, F.col("person_id")).alias("unconfirmed_id"),
@@ -245,7 +235,7 @@ class Tables:
             .alias("code_array"),
             F.when(price > 60000, F.col("lsoa")).alias("residence"),
             F.col("lsoa").alias("location"),
-            F.when(price > 450000, "False").otherwise("True").alias("current"),
+            F.when(current, "True").otherwise("False").alias("current"),
             F.when(price < 20000, "Y").otherwise("N").alias("cancelled"),
         )
 

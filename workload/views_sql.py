@@ -254,9 +254,10 @@ VIEWS["deaths_raw"] = """
              WHEN month(o_orderdate) <= 9 THEN 'I500' ELSE 'C349' END AS code,
         CASE WHEN o_totalprice > 60000 THEN lsoa END AS residence, lsoa AS location,
         o_totalprice > 100000 AS with_stroke, o_totalprice > 300000 AS with_other,
-        CASE WHEN o_totalprice > 450000 THEN 'False' ELSE 'True' END AS current_mark,
+        CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' AND o_totalprice <= 450000
+             THEN 'True' ELSE 'False' END AS current_mark,
         CASE WHEN o_totalprice < 20000 THEN 'Y' ELSE 'N' END AS cancelled
-    FROM order_person WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'"""
+    FROM order_person"""
 
 
 def _regex(codes) -> str:
