@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.llm import bpe, classifier, counts, fingerprints, lines, minhash, packing, rules, urls, warc
+from casebook.llm import bpe, classifier, counts, fingerprints, lines, minhash, oracles, packing, rules, urls, warc
 from casebook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,7 +68,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.length_histogram(counts.token_lengths(table(spark, sf_dir, "documents", "text"), tokenizer(spark)))
 
 
-@query("op2_warc")
+@query("op2_warc", oracles.WARC)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to archives and read back through the index."""
     index = warc.write_archives(table(spark, sf_dir, "pages", "page_id", "url", "html"))
@@ -76,7 +76,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-@query("op3_near_duplicates")
+@query("op3_near_duplicates", oracles.NEAR_DUPLICATES)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near-duplicate documents."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -84,26 +84,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: The rules the contract fixes: host, path, verdict.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-_RULE_SQL = """
-with parts as (
-    select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages
-), hosts as (
-    select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
-        regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') as path
-    from parts
-), rules(rule_host, rule_path, rule_verdict) as (
-    values ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
-), fitting as (
-    select page_id, rule_host || rule_path as rule, rule_verdict,
-        row_number() over (partition by page_id order by length(rule_host) desc, length(rule_path) desc) as place
-    from hosts join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
-)
-select h.page_id, h.host, h.path, f.rule, coalesce(f.rule_verdict, 'allow') as verdict
-from hosts h left join fitting f on f.page_id = h.page_id and f.place = 1
-"""
-
-
-@query("op4_url_filter", _RULE_SQL)
+
+
+@query("op4_url_filter", oracles.URL_FILTER)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on every page's URL."""
     judged = urls.filter_urls(table(spark, sf_dir, "pages", "page_id", "url"), RULES)
@@ -129,7 +112,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.classify(docs, classifier.train(docs)).select("doc_id", "votes", "weak_label", "score", "kept")
 
 
-@query("op1_quality_rules")
+@query("op1_quality_rules", oracles.QUALITY_RULES)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rules' verdict on every document."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")

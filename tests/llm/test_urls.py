@@ -3,14 +3,7 @@ import random
 import pytest
 
 from casebook.llm import urls
-from casebook.llm.queries import ORACLES, RULES, op4
-from workload.check import compare, connect
-
-
-def test_query_agrees_with_sql(spark, sf):
-    cursor = connect(sf).execute(ORACLES["op4_url_filter"])
-    names, rows = [c[0] for c in cursor.description], cursor.fetchall()
-    assert compare(op4(spark, sf), names, rows) == ""
+from casebook.llm.queries import RULES
 
 
 def slow(rules, host, path, default="allow"):
