@@ -1,4 +1,5 @@
-"""Every registered query against its SQL on the smallest tables; jobs have their own, slower run."""
+"""Every registered query against its SQL on the smallest tables; of the jobs those that need most of
+the others, as they are slow: ``python -m workload.check`` runs them all."""
 
 import pytest
 
@@ -17,7 +18,10 @@ def test_every_query_has_sql():
     assert set(ORACLES) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("job_")))
+JOBS = ("job_curate", "job_hospital_extract", "job_patient", "job_report")
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("job_") or n in JOBS))
 def test_query(spark, con, name):
     cursor = con.execute(ORACLES[name])
     names, found = [c[0] for c in cursor.description], cursor.fetchall()
