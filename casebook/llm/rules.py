@@ -73,14 +73,19 @@ def rates() -> dict:
 
 
 def binomial_tail(k: int, n: int, p: float) -> float:
-    """Chance of at most k of n, exact but for rounding; the sum runs over the smaller side."""
-    if k >= n:
+    """Chance of at most k of n, exact but for rounding. Above the mean, where no test can be
+    passed, simply 1."""
+    if k >= n or k > n * p:
         return 1.0
-    const = math.lgamma(n + 1)
-    log = lambda j: const - math.lgamma(j + 1) - math.lgamma(n - j + 1) + j * math.log(p) + (n - j) * math.log1p(-p)
-    if k > n * p:
-        return 1.0
-    return math.fsum(math.exp(log(j)) for j in range(k, max(-1, k - 2000), -1))
+    log = math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p)
+    term = total = math.exp(log)
+    # Below the mean the terms fall; those that no longer change the sum are left out.
+    for j in range(k, 0, -1):
+        term *= j * (1 - p) / ((n - j + 1) * p)
+        total += term
+        if term < total * 1e-18:
+            break
+    return total
 
 
 def chosen(good: int, rejected: list[int], cutoffs: tuple[float, ...], alpha: float, delta: float) -> float | None:
