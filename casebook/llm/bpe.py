@@ -31,9 +31,10 @@ from casebook.llm.common import with_columns
 
 #: Stands for the suffix of word-final entries; no byte maps to it.
 END = "\x00"
-#: Distinct words, and steps, a worker remembers before it starts anew.
-MEMORY = 500_000
-STEPS, WAYS = 300_000, 300_000
+#: Distinct words of a generation. A worker remembers two: when the new one is full it becomes the
+#: old one, and words that are met again move on. Steps and ways are forgotten when they are full.
+MEMORY = 240_000
+STEPS, WAYS = 200_000, 100_000
 #: Letters of a word below which the ends of words are remembered.
 SHORT = 64
 #: Below this, which characters are letters does not depend on the version of Unicode.
@@ -112,10 +113,11 @@ class Encoder:
         self.letters = dict(enumerate(byte_letters()))
         self.find = regex.compile(automaton.pattern).findall
         self.specials = re.compile("(" + "|".join(map(re.escape, automaton.special)) + ")") if automaton.special else None
-        self.splitter = Library.from_str(spec.decode())
+        self.spec = spec
         self.steps: dict[int, bool] = {}
-        self.ways: dict[tuple[int, str], bytes | None] = {}
+        self.ways: dict[str, bytes | None] = {}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.names = [automaton.labels.get(i, "") for i in range(max(automaton.labels) + 1)]
         self.size = len(self.names)
         self.coded = [struct.pack("<I", i) for i in range(self.size)]
@@ -126,6 +128,11 @@ class Encoder:
                 node = node.setdefault(letter, {})
             node[""] = i
 
+    @functools.cached_property
+    def splitter(self) -> Library:
+        """The library's own normalizer and splitter, loaded when a text needs it."""
+        return Library.from_str(self.spec.decode())
+
     def arcs(self, text: str, at: int) -> list[tuple[int, int]]:
         """The entries that begin at a place: (end, id), the longest last."""
         found, node = [], self.root
@@ -180,9 +187,10 @@ class Encoder:
     def way(self, state: int, rest: str) -> bytes | None:
         """The ids of the accepted path from a state over the rest of a word; None if there is none.
 
-        Words share their ends, so the answers are remembered. For short words only: it recurses.
+        Words share their ends, so the answers are remembered (no letter of a word is a space, which
+        parts the key). For short words only: it recurses.
         """
-        key = state, rest
+        key = f"{state} {rest}"
         found = self.ways.get(key, 0)
         if found != 0:
             return found
@@ -207,7 +215,7 @@ class Encoder:
 
     def remember(self, text: str, found: bytes) -> bytes:
         if len(self.known) >= MEMORY:
-            self.known.clear()
+            self.known, self.older = {}, self.known
         if len(text) <= 64:
             self.known[text] = found
         return found
@@ -220,24 +228,23 @@ class Encoder:
     def part(self, text: str) -> bytes:
         """Text without white space or special entries."""
         if text.isascii():
-            if text.isalpha():
-                return self.word(text.lower())
-            words = self.find(text.lower())
-            if len(words) == 1 and words[0] == text:
+            lower = text.lower()
+            words = [lower] if text.isalpha() else self.find(lower)
+            if words == [text]:
                 return self.spelled(text)
-            get, learn = self.known.get, self.learn
-            return b"".join([get(w) or learn(w) for w in words])
+            learn = self.learn
+            return b"".join([self.known.get(w) or learn(w) for w in words])
         if max(text) < STABLE:
             # Letters one by one: a final sigma is no special case.
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-            get, learn = self.known.get, self.learn
-            return b"".join([get(w) or learn(w) for w in self.find(text)])
+            learn = self.learn
+            return b"".join([self.known.get(w) or learn(w) for w in self.find(text)])
         # Letters that some versions of Unicode do not know: split as the library's version does.
         normal = self.splitter.normalizer.normalize_str(text)
         return b"".join([self.word(w) for w, _ in self.splitter.pre_tokenizer.pre_tokenize_str(normal)])
 
     def learn(self, word: str) -> bytes:
-        return self.remember(word, self.spelled(word))
+        return self.remember(word, self.older.get(word) or self.spelled(word))
 
     def spelled(self, word: str) -> bytes:
         if word.isascii() and word.isprintable():
@@ -245,6 +252,9 @@ class Encoder:
         return self.word(word.encode().decode("latin-1").translate(self.letters))
 
     def chunk(self, text: str) -> bytes:
+        found = self.older.get(text)
+        if found:
+            return self.remember(text, found)
         if self.specials and "<|" in text:
             parts = self.specials.split(text)
             found = b"".join(struct.pack("<I", self.automaton.special[p]) if k % 2 else self.part(p) for k, p in enumerate(parts))
@@ -260,8 +270,8 @@ class Encoder:
             pieces = _WHITE.split(text)
         else:
             pieces = text.split()
-        get, chunk = self.known.get, self.chunk
-        return b"".join([get(p) or chunk(p) for p in pieces])
+        chunk = self.chunk
+        return b"".join([self.known.get(p) or chunk(p) for p in pieces])
 
     def decode(self, ids) -> str:
         """The labels of the arcs, parted by spaces; the file names no other decoder."""

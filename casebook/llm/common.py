@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from casebook.session import shared_dir, tune
 
 #: Rows of an Arrow batch. Texts can be long, so batches are kept short.
-BATCH_ROWS = 1000
+BATCH_ROWS = 500
 #: Bytes of text that the vector code handles at once; a longer text is handled alone.
 CHUNK_BYTES = 1 << 20
 

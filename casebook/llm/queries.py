@@ -41,9 +41,17 @@ def tokenizer(spark: SparkSession) -> bpe.Tokenizer:
 
 def packed(docs: DataFrame) -> DataFrame:
     """The pieces of documents of the word BPE, each document closed by id 1."""
-    encoded = bpe.encode(docs.select("doc_id", "text"), tokenizer(docs.sparkSession))
-    closed = encoded.select("doc_id", F.concat("ids", F.unhex(F.lit("01000000"))).alias("ids"))
-    return packing.pack(closed)
+    coder = tokenizer(docs.sparkSession)
+
+    def reader():
+        encoder = coder.encoder()
+
+        def closed(text):
+            return encoder.encode(text) + b"\x01\0\0\0"
+
+        return closed
+
+    return packing.pack(docs, ids="text", reader=reader)
 
 
 @query("op5_packing")

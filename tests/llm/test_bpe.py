@@ -81,7 +81,7 @@ def test_memory_is_bounded(coder, library, monkeypatch):
     monkeypatch.setattr(bpe, "STEPS", 5)
     text = " ".join(f"wordnumber{k}" for k in range(50))
     assert ids(coder, text) == library.encode(text, add_special_tokens=False).ids
-    assert len(coder.known) <= 6 and len(coder.steps) <= 6
+    assert len(coder.known) <= 6 and len(coder.older) <= 320_000 and len(coder.steps) <= 6
 
 
 def test_rows(spark, frame, library):
