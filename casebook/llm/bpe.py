@@ -273,6 +273,11 @@ class Encoder:
         chunk = self.chunk
         return b"".join([self.known.get(p) or chunk(p) for p in pieces])
 
+    def forget(self) -> None:
+        """Drops the remembered words. Workers outlive their tasks, and most words of the next task
+        are new in any case; what is compiled stays."""
+        self.known, self.older, self.ways = {}, {}, {}
+
     def decode(self, ids) -> str:
         """The labels of the arcs, parted by spaces; the file names no other decoder."""
         return " ".join(map(self.names.__getitem__, ids))
@@ -320,6 +325,7 @@ def encode(df: DataFrame, tokenizer: Tokenizer, text: str = "text", ids: str = "
             found = [coder.encode(t) for t in texts]
             return found, [len(f) // 4 for f in found]
 
+        compute.release = coder.forget
         return compute
 
     return with_columns(df, [text], {ids: "binary", n_tokens: "long"}, task)

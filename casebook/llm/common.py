@@ -54,7 +54,7 @@ def with_columns(df: DataFrame, inputs: list[str], added: dict[str, str], task:
     """Adds columns computed from Arrow batches.
 
     ``task`` runs once per task and returns a function from the input columns, as lists, to the
-    added columns, as lists. Other columns pass unchanged, whatever their names; a column of an
+    added columns, as lists; a ``release`` of that function is called at the end. Other columns pass unchanged, whatever their names; a column of an
     added name (in any case) is replaced.
     """
     prepared(df.sparkSession)
@@ -78,10 +78,17 @@ def with_columns(df: DataFrame, inputs: list[str], added: dict[str, str], task:
             new = [pa.array(c, kind) for c, kind in zip(found, kinds, strict=True)]
             names = [batch.schema.names[k] for k in stay] + [f"a{k}" for k in range(len(new))]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in stay), *new], names=names)
+        release(compute)
 
     return flat.mapInArrow(run, ", ".join(fields)).toDF(*(kept[k] for k in stay), *added)
 
 
+def release(function: Callable) -> None:
+    """Gives back what a task's function holds: workers stay alive between tasks."""
+    getattr(function, "release", lambda: None)()
+    pa.default_memory_pool().release_unused()
+
+
 def _arrow_type(kind: str) -> pa.DataType:
     known = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "double": pa.float64(), "boolean": pa.bool_()}
     return pa.list_(known[kind[6:-1]]) if kind.startswith("array<") else known[kind]

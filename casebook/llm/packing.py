@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import BATCH_ROWS, prepared, stored
+from casebook.llm.common import BATCH_ROWS, prepared, release, stored
 
 #: Tokens of a window, and windows a partition keeps open.
 WINDOW = 2048
@@ -83,7 +83,8 @@ def pack(
 
     ``ids`` holds a document's token ids as little-endian unsigned 32-bit integers; or anything else
     from which ``reader`` makes them: it is called once in a task and returns the function that is
-    called for each document, so that texts can be encoded and packed in one pass. A document
+    called for each document (its ``release``, if any, at the end of the task), so that texts can be
+    encoded and packed in one pass. A document
     longer than a window is cut into full windows and a last piece; last pieces are placed as the
     module text says, and cut only when open windows are merged. Rows out: id, start (tokens of the
     document before the piece), length, ids (of the piece), doc_tokens, sequence_id, offset.
@@ -134,6 +135,7 @@ def pack(
             for pieces in windows.rest():
                 emit(pieces, True)
             yield from rows.taken(1)
+        release(read)
 
     pieces = stored(docs.mapInArrow(place, schema), "packed")
 

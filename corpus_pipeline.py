@@ -59,7 +59,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents' tokens and their places in sequences."""
-    return packed(docs).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packed(docs, forget=True).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 STAGES = [
