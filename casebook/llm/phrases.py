@@ -19,51 +19,51 @@ KEPT = 64
 
 
 class Parse:
-    """The phrases of a text so far; parsing goes on where it stopped."""
+    """The phrases of a text so far; parsing goes on where it stopped.
+
+    A dictionary entry is a dict from letter to entry; under 0 it holds the CRC-32 of its phrase's
+    UTF-8 bytes, which that of a longer phrase continues.
+    """
 
     def __init__(self):
-        self.root: dict = {}
+        self.root: dict = {0: 0}
         self.node = self.root
-        self.begun = ""
-        self.phrases: list[str] = []
+        self.marks: list[int] = []
 
     def feed(self, text: str) -> list[tuple[dict, str]]:
-        """Parses further text; returns the dictionary entries it made."""
+        """Parses further text; returns the dictionary entries it made.
+
+        The end of a text that completes no phrase equals a phrase that is there already.
+        """
         made = []
-        root, node, start = self.root, self.node, 0
-        begun, phrases = self.begun, self.phrases
-        for place, letter in enumerate(text):
+        root, node, marks, crc = self.root, self.node, self.marks, zlib.crc32
+        for letter in text:
             after = node.get(letter)
             if after is None:
-                node[letter] = {}
+                mark = crc(letter.encode("utf-8", "surrogatepass"), node[0])
+                node[letter] = {0: mark}
                 made.append((node, letter))
-                phrases.append(begun + text[start : place + 1])
-                node, start, begun = root, place + 1, ""
+                marks.append(mark)
+                node = root
             else:
                 node = after
-        self.node, self.begun = node, begun + text[start:]
+        self.node = node
         return made
 
-    def all(self) -> list[str]:
-        """The phrases, the unfinished last one included."""
-        return [*self.phrases, self.begun] if self.begun else self.phrases
-
     def mark(self) -> tuple:
-        return self.node, self.begun, len(self.phrases)
+        return self.node, len(self.marks)
 
     def back(self, mark: tuple, made: list[tuple[dict, str]]) -> None:
         """Undoes what was parsed since the mark."""
         for node, letter in reversed(made):
             del node[letter]
-        self.node, self.begun, n = mark
-        del self.phrases[n:]
+        self.node, n = mark
+        del self.marks[n:]
 
 
-def hashes(phrases: list[str]) -> np.ndarray:
+def hashes(marks: list[int]) -> np.ndarray:
     """The smallest ``KEPT`` distinct 32-bit hashes of phrases, sorted."""
-    crc = zlib.crc32
-    raw = np.fromiter([crc(p.encode("utf-8", "surrogatepass")) for p in phrases], np.uint64, len(phrases))
-    found = np.unique((mixed(raw + np.uint64(1)) >> np.uint64(32)).astype(np.uint32))
+    found = np.unique((mixed(np.array(marks, np.uint64) + np.uint64(1)) >> np.uint64(32)).astype(np.uint32))
     return found[:KEPT]
 
 
@@ -71,7 +71,7 @@ def fingerprint(text: str) -> np.ndarray:
     """The fingerprint of a whole text; empty for the empty text."""
     parse = Parse()
     parse.feed(text)
-    return hashes(parse.all())
+    return hashes(parse.marks)
 
 
 def shown(marks: np.ndarray) -> str:
@@ -99,7 +99,7 @@ def edited_pair(text: str, other: str) -> tuple[np.ndarray, np.ndarray, str]:
     parse.feed(begin)
     mark = parse.mark()
     made = parse.feed(end)
-    own = hashes(parse.all())
+    own = hashes(parse.marks)
     parse.back(mark, made)
     parse.feed(tail)
-    return own, hashes(parse.all()), begin + tail
+    return own, hashes(parse.marks), begin + tail
