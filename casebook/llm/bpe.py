@@ -325,7 +325,6 @@ def encode(df: DataFrame, tokenizer: Tokenizer, text: str = "text", ids: str = "
             found = [coder.encode(t) for t in texts]
             return found, [len(f) // 4 for f in found]
 
-        compute.release = coder.forget
         return compute
 
     return with_columns(df, [text], {ids: "binary", n_tokens: "long"}, task)

@@ -25,7 +25,6 @@ def token_lengths(df: DataFrame, tokenizer: Tokenizer, text: str = "text", n_tok
         for batch in batches:
             found = [len(coder.encode(t)) // 4 for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=[n_tokens])
-        coder.forget()
 
     return df.select(text).mapInArrow(run, f"{n_tokens} long")
 
