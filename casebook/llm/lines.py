@@ -12,12 +12,13 @@ import bisect
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import prepared, stored, with_columns
+from casebook.llm.common import _powers, mixed, prepared, stored, with_columns
 
 #: Words of the least block that is deleted, and of the least line that pairs documents.
 BLOCK_WORDS = 25
@@ -40,7 +41,7 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 
     Equal ends are aligned; between them the longest increasing run of values that occur once on
     each side splits the lists, and the parts are aligned in the same way. Parts without such a
-    value align nothing but their ends.
+    value align nothing but their ends; ``repeated_lines`` looks up what that leaves.
     """
     out: list[tuple[int, int]] = []
     todo = [(0, len(a), 0, len(b))]
@@ -87,10 +88,49 @@ def rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def runs(hashes: np.ndarray, words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and hashes of the shortest runs of lines that reach so many words: one from
+    each line and one up to each line, as far as there are such.
+
+    Any longer run is made of them: its lines lie in the run from its first line or, after that,
+    in the run up to themselves. So what two lists share in runs is what they share in these.
+    """
+    least = max(1, least)
+    total = np.concatenate(([0], np.cumsum(words, dtype=np.int64)))
+    places = np.arange(len(total))
+    ends = np.searchsorted(total, total + least)
+    starts = np.searchsorted(total, total - least, side="right") - 1
+    onward, back = ends < len(total), starts >= 0
+    spans = np.concatenate((places[onward] * len(total) + ends[onward], starts[back] * len(total) + places[back]))
+    starts, ends = np.divmod(np.unique(spans), len(total))
+    up, down = _powers(len(total))
+    # Odd values, so that lines without words, whose hash is 0, tell runs apart as well.
+    values = mixed(hashes.astype(np.int64).view(np.uint64)) | np.uint64(1)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * up[: len(values)], dtype=np.uint64)))
+    return starts, ends, mixed((sums[ends] - sums[starts]) * down[starts])
+
+
+def shared_runs(earlier: list[int], later: list[int], words: list[int], least: int) -> list[int]:
+    """Lines of the later list in runs of at least so many words that the earlier one holds as
+    well, wherever and however often."""
+    weight = dict(zip(later, words, strict=True))
+    both = [weight.get(x) for x in earlier]
+    # Lines that only the earlier list has end a run: they count as many words as a run needs.
+    held = runs(np.array(earlier, np.int64), np.array([least if n is None else n for n in both], np.int64), least)
+    own = runs(np.array(later, np.int64), np.array(words, np.int64), least)
+    found = np.isin(own[2], held[2])
+    edges = np.zeros(len(later) + 1, np.int64)
+    np.add.at(edges, own[0][found], 1)
+    np.add.at(edges, own[1][found], -1)
+    return np.flatnonzero(np.cumsum(edges)[:-1]).tolist()
+
+
 def repeated_lines(earlier: list[int], later: list[int], words: list[int], least: int) -> list[int]:
-    """Lines of the later document in aligned blocks of at least so many words.
+    """Lines of the later document in blocks of at least so many words that the earlier one holds.
 
     A block is a run of neighbours on both sides; lines without words neither count nor break it.
+    The alignment gives each line one partner and keeps the order, so it misses blocks that moved
+    or that a document holds twice; these are looked up by their runs.
     """
     out: list[int] = []
     block: list[int] = []
@@ -103,6 +143,8 @@ def repeated_lines(earlier: list[int], later: list[int], words: list[int], least
         block.append(j)
         total += words[j] if j >= 0 else 0
         previous = (i, j)
+    if len(out) < len(later):
+        out = sorted({*out, *shared_runs(earlier, later, words, least)})
     return out
 
 

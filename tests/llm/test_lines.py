@@ -92,3 +92,19 @@ def test_rows(frame):
 
 def test_empty_table(frame):
     assert lines.dedup_lines(frame([])).collect() == []
+
+
+def test_passages_held_twice_and_moved_blocks_go():
+    p, q = list(range(8)), list(range(20, 28))
+    once, twice = [100, *p, 101], [102, *p, 103, *p, 104]
+    ten = [10] * 40
+    assert lines.repeated_lines(once, twice, ten[: len(twice)], 25) == [*range(1, 9), *range(10, 18)]
+    assert lines.repeated_lines(twice, once, ten[: len(once)], 25) == list(range(1, 9))
+    assert lines.repeated_lines([*p, 100, *q], [*q, 101, *p], ten[:17], 25) == [*range(8), *range(9, 17)]
+
+
+def test_rows_with_passages_held_twice_and_moved(frame):
+    q = P.replace("passage", "other")
+    rows = [(1, f"head\n{P}\nmid\n{P}\n{q}"), (2, f"h\n{P}\nt"), (3, f"{q}\nx\n{P}\ny\n{P}\nz"), (4, f"{q}\nend\n{P}\n{P}")]
+    got = {r.doc_id: r.text for r in lines.dedup_lines(frame(rows)).collect()}
+    assert got == {1: rows[0][1], 2: "h\nt", 3: "x\ny\nz", 4: "end"}
