@@ -1,9 +1,10 @@
 """Line dedup by alignment of overlapping documents.
 
-Documents that share rare lines are aligned with patience diff, and blocks of aligned lines are
-deleted from the later one. A line is as rare as it can be for its first holder, so every later
-document is paired with the first holders of its lines, and with no others: the pairs grow with
-the lines, however many documents share one.
+Documents that share runs of lines are aligned with patience diff, and blocks of aligned lines are
+deleted from the later one, as are blocks that the alignment leaves. A run is as rare as it can be
+for its first holder, so every later document is paired with the first holders of its runs, and
+with no others: the pairs grow with the lines, however many documents share one. Together they find
+every block that any earlier document holds.
 """
 
 from __future__ import annotations
@@ -20,8 +21,9 @@ from pyspark.sql import functions as F
 
 from casebook.llm.common import _powers, mixed, prepared, stored, with_columns
 
-#: Words of the least block that is deleted, and of the least line that pairs documents.
+#: Words of the least block that is deleted.
 BLOCK_WORDS = 25
+#: Without effect, kept for callers: documents are paired by runs, in which every line counts.
 LINE_WORDS = 3
 
 
@@ -151,8 +153,8 @@ def repeated_lines(earlier: list[int], later: list[int], words: list[int], least
 def find_repeated(df: DataFrame, id: str = "doc_id", text: str = "text", block_words: int = BLOCK_WORDS, line_words: int = LINE_WORDS) -> DataFrame:
     """Documents that lose lines: id, keep (a flag per line), removed_lines, removed_words.
 
-    A document is aligned with an earlier one (smaller id) if lines of at least ``line_words``
-    words that the earlier one is the first to hold sum up to ``block_words`` words or more.
+    A document is aligned with an earlier one (smaller id) that is the first to hold one of its
+    ``runs`` of ``block_words`` words or more. ``line_words`` has no effect.
     """
     prepared(df.sparkSession)
     docs = df.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).filter("id is not null and text is not null")
@@ -160,16 +162,16 @@ def find_repeated(df: DataFrame, id: str = "doc_id", text: str = "text", block_w
     def task():
         def compute(texts):
             found = [line_values(t) for t in texts]
-            return [f[0] for f in found], [f[1] for f in found]
+            own = [runs(np.array(h, np.int64), np.array(w, np.int64), block_words)[2] for h, w in found]
+            return [f[0] for f in found], [f[1] for f in found], [np.unique(k).view(np.int64) for k in own]
 
         return compute
 
-    values = stored(with_columns(docs, ["text"], {"hashes": "array<long>", "words": "array<long>"}, task).drop("text"), "lines")
-    lines = values.select("id", F.explode(F.arrays_zip("hashes", "words")).alias("line"))
-    lines = lines.select("id", F.col("line.hashes").alias("hash"), F.col("line.words").alias("words")).filter(F.col("words") >= line_words)
-    holders = lines.groupBy("hash").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").drop("last")
-    shared = lines.join(holders, "hash").filter("first < id").groupBy("first", "id").agg(F.sum("words").alias("shared"))
-    pairs = stored(shared.filter(F.col("shared") >= block_words).select("first", "id"), "line-pairs")
+    kinds = {"hashes": "array<long>", "words": "array<long>", "runs": "array<long>"}
+    values = stored(with_columns(docs, ["text"], kinds, task).drop("text"), "lines")
+    held = values.select("id", F.explode("runs").alias("run"))
+    holders = held.groupBy("run").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").drop("last")
+    pairs = stored(held.join(holders, "run").filter("first < id").select("first", "id").distinct(), "line-pairs")
 
     earlier = pairs.join(values.select(F.col("id").alias("first"), "hashes"), "first")
     later = values.join(pairs.select("id").distinct(), "id", "left_semi")

@@ -108,3 +108,19 @@ def test_rows_with_passages_held_twice_and_moved(frame):
     rows = [(1, f"head\n{P}\nmid\n{P}\n{q}"), (2, f"h\n{P}\nt"), (3, f"{q}\nx\n{P}\ny\n{P}\nz"), (4, f"{q}\nend\n{P}\n{P}")]
     got = {r.doc_id: r.text for r in lines.dedup_lines(frame(rows)).collect()}
     assert got == {1: rows[0][1], 2: "h\nt", 3: "x\ny\nz", 4: "end"}
+
+
+def test_a_passage_of_lines_first_held_by_different_documents_goes(frame):
+    a, b, c = (f"part {x} of the passage has these ten words in it" for x in "abc")
+    short = "two words\n" * 12 + "two words"
+    both = f"{a}\n{b}\n{c}"
+    texts = [f"x\n{a}", f"y\n{b}", f"z\n{c}", f"u\n{both}", f"v\n{both}\nw", f"{short}\nr", f"q\n{short}"]
+    got = {r.doc_id: r.text for r in lines.dedup_lines(frame(list(enumerate(texts)))).collect()}
+    assert got == dict(enumerate(texts)) | {4: "v\nw", 6: "q"}
+
+
+def test_a_line_goes_with_the_run_that_only_a_second_holder_has(frame):
+    long = "long line " * 15
+    texts = [f"x\n{long}\ny", f"{long}\nshort one\nz", f"a\n{long}\nshort one\nb", f"c\nshort one\n{long}\nshort one"]
+    got = {r.doc_id: r.text for r in lines.dedup_lines(frame(list(enumerate(texts)))).collect()}
+    assert got == {0: texts[0], 1: "short one\nz", 2: "a\nb", 3: "c\nshort one"}
