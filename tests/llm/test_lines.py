@@ -124,3 +124,45 @@ def test_a_line_goes_with_the_run_that_only_a_second_holder_has(frame):
     texts = [f"x\n{long}\ny", f"{long}\nshort one\nz", f"a\n{long}\nshort one\nb", f"c\nshort one\n{long}\nshort one"]
     got = {r.doc_id: r.text for r in lines.dedup_lines(frame(list(enumerate(texts)))).collect()}
     assert got == {0: texts[0], 1: "short one\nz", 2: "a\nb", 3: "c\nshort one"}
+
+
+def without_earlier_runs(docs, least=25):
+    """Texts without the lines in any run of ``least`` words or more of consecutive lines that any
+    earlier document holds. Uses nothing of the operator."""
+    places, out = {}, {}
+    for i in sorted(docs):
+        raw = docs[i].split("\n")
+        own = [" ".join(x.split()) for x in raw]
+        words = [len(x.split()) for x in own]
+        gone = set()
+        for s, x in enumerate(own):
+            for other, p in places.get(x, ()):
+                if s and p and other[p - 1] == own[s - 1]:
+                    continue  # part of a run that starts further up
+                k = 0
+                while p + k < len(other) and s + k < len(own) and other[p + k] == own[s + k]:
+                    k += 1
+                if sum(words[s : s + k]) >= least:
+                    gone.update(range(s, s + k))
+        for p, x in enumerate(own):
+            places.setdefault(x, []).append((own, p))
+        out[i] = "\n".join(x for k, x in enumerate(raw) if k not in gone)
+    return out
+
+
+def test_query_deletes_every_run_that_an_earlier_document_holds(spark, sf, documents):
+    assert {r.doc_id: r.text for r in op6(spark, sf).collect()} == without_earlier_runs(documents)
+
+
+def test_random_rows_lose_every_run_that_an_earlier_document_holds(frame):
+    rng = random.Random(5)
+    kinds = ["", "one", "two words", "a line of five words", "a line that has eight words in all", "long " * 26]
+    pieces = [[rng.choice(kinds) + (f" {rng.randrange(3)}" if rng.random() < 0.5 else "") for _ in range(rng.randrange(1, 9))] for _ in range(12)]
+    docs = {}
+    for i in range(150):
+        picked = [x for _ in range(rng.randrange(1, 6)) for x in [*rng.choice(pieces), *[f"own {i}"] * rng.randrange(2)]]
+        docs[i] = "\n".join(picked)
+    got = {r.doc_id: r.text for r in lines.dedup_lines(frame(list(docs.items()))).collect()}
+    want = without_earlier_runs(docs)
+    assert got == want
+    assert sum(want[i] not in ("", docs[i]) for i in docs) > 50
