@@ -214,8 +214,10 @@ class Model:
 def train(df: DataFrame, id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Model:
     """Counts the votes of all documents, and fits the scorer on a sample of at most ``sample``.
 
-    At most 3 ** 9 pattern counts and the shape counts of the sample reach the driver. The sample
-    are the documents with the smallest hashes of their ids.
+    At most 3 ** 9 pattern counts and the shape counts of the sample reach the driver: an entry for
+    each bucket that a sampled text fills and its share, so at most ``sample * BUCKETS`` of both.
+    The sample are the documents with the smallest hashes of their ids, one row of each id; of
+    several texts of an id it is the smallest.
     """
     spark = prepared(df.sparkSession)
     docs = df.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
@@ -235,7 +237,7 @@ def train(df: DataFrame, id: str = "doc_id", text: str = "text", sample: int = S
                 shares.append((n / max(1, n.sum())).tolist())
         return votes, buckets, shares
 
-    drawn = docs.join(F.broadcast(picked), "id").filter("text is not null").select("text")
+    drawn = docs.join(F.broadcast(picked), "id").filter("text is not null").groupBy("id").agg(F.min("text").alias("text")).select("text")
     kinds = {"votes": "string", "buckets": "array<long>", "shares": "array<double>"}
     rows = with_columns(drawn, ["text"], kinds, lambda: compute).select("votes", "buckets", "shares").collect()
     # The order of collected rows is not fixed, that of sums over them should be.

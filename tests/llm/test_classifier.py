@@ -82,3 +82,13 @@ def test_empty_table_and_one_kind(frame):
 def test_sample_is_bounded(frame):
     docs = frame([(k, "Plain words are here. " * 3 if k % 4 else "NO!! " * 20) for k in range(60)])
     assert classifier.train(docs, sample=10).weights.any()
+
+
+def test_a_repeated_id_gives_the_sample_one_row(spark, documents, monkeypatch):
+    fitted, fit = [], classifier.fit
+    monkeypatch.setattr(classifier, "fit", lambda rows: fitted.append(rows) or fit(rows))
+    df = spark.createDataFrame([(k % 20, t) for k, t in enumerate(documents.values())], "doc_id long, text string")
+    classifier.train(df, sample=10)
+    classifier.train(df.groupBy("doc_id").agg({"text": "min"}).toDF("doc_id", "text"), sample=10)
+    assert 0 < len(fitted[0]) <= 10
+    assert [r[0] for r in fitted[0]] == [r[0] for r in fitted[1]]
