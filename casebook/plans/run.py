@@ -34,7 +34,7 @@ def _ruled(df: DataFrame, broken: DataFrame) -> DataFrame:
 PRODUCTS = (
     "extract", "clean_extract", "cohort", "journal", "people", "episodes", "deaths", "readings",
     "diagnoses", "events", "spell_members", "demographic", "patient_base", "patient", "curated_events", "curated_patients",
-    "report", "metrics",
+    "unexpected_values", "report", "metrics",
 )
 
 
@@ -193,6 +193,12 @@ class Run:
         written = self._keep("curated_patients", df, ["patient_key"])
         return _ruled(written, curation.broken_patient_rules(written))
 
+    @cached_property
+    def unexpected_values(self) -> DataFrame:
+        """Every unexpected group value; the report's messages name the first of them."""
+        df = report_plan.unexpected_values(self.events, self.patient, self.cohorts, self.labels)
+        return self._keep("unexpected_values", df)
+
     @cached_property
     def report(self) -> DataFrame:
         """The report on events and patients."""

@@ -292,6 +292,14 @@ def test_report(spark):
     assert narrow.level == "warning" and "sex" in narrow.message
 
 
+def test_every_unexpected_value_is_listed(spark):
+    events = full_table(spark, shaping.EVENT_SCHEMA, [{"dataset": f"new{k:02}"} for k in range(30)] * 2)
+    people = full_table(spark, patient.PATIENT_SCHEMA, [{"cohort": "C01"}, {"cohort": "C02"}])
+    found = report.unexpected_values(events, people, ["C01"]).collect()
+    assert sorted((r.check, r.value, r.rows) for r in found) == [
+        *(("events_datasets_present", f"new{k:02}", 2) for k in range(30)), ("patients_cohorts_present", "C02", 1)]
+
+
 def test_shaping_errors(spark):
     df = spark.createDataFrame([(1, "a", True)], "i int, s string, b boolean")
     with pytest.raises(TypeError):
