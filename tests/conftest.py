@@ -1,4 +1,3 @@
-import datetime as dt
 import sys
 from pathlib import Path
 
@@ -24,15 +23,3 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield tune(session)
     session.stop()
-
-
-def d(text):
-    """A date from ISO text; None stays None."""
-    return dt.date.fromisoformat(text) if text else None
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples, nulls last."""
-    picked = df.select(*columns) if columns else df
-    found = [tuple(r) for r in picked.collect()]
-    return sorted(found, key=lambda r: tuple((v is None, str(v)) for v in r))

@@ -1,5 +1,5 @@
 import pytest
-from conftest import d, rows
+from plain_rows import d, rows
 from pyspark.sql import functions as F
 
 from casebook.functions import codes, dates, readings, values

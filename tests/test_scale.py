@@ -1,7 +1,7 @@
 """Plan shapes that keep hot keys and large tables workable."""
 
 import pytest
-from conftest import d, rows
+from plain_rows import d, rows
 from pyspark.sql import functions as F
 
 from casebook.operators import latest, links, spells

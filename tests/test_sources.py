@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows
+from plain_rows import rows
 from pyspark.sql import functions as F
 
 from casebook.session import shared_dir

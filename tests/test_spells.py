@@ -1,4 +1,4 @@
-from conftest import d, rows
+from plain_rows import d, rows
 from pyspark.sql import functions as F
 
 from casebook.operators import spells
