@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from casebook.llm.bpe import Tokenizer
-from casebook.llm.common import prepared
+from casebook.llm.common import prepared, stored
 
 #: Lengths that share a coarse step of the suffix sums.
 STEP = 1024
@@ -23,7 +23,7 @@ def token_lengths(df: DataFrame, tokenizer: Tokenizer, text: str = "text", n_tok
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokenizer.encoder()
         for batch in batches:
-            found = [len(coder.encode(t)) // 4 for t in batch.column(0).to_pylist()]
+            found = [len(ids) // 4 for ids in coder.encode_all(batch.column(0).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=[n_tokens])
 
     return df.select(text).mapInArrow(run, f"{n_tokens} long")
@@ -39,8 +39,10 @@ def length_histogram(lengths: DataFrame, length: str = "n_tokens") -> DataFrame:
 
     Rows with a null length are not documents. An empty table gives no rows. The counts are summed
     map-side per length; suffix sums are taken within steps of ``STEP`` lengths and over the sums
-    of steps, so no task sees more than the lengths of a step or one row per step.
+    of steps, so no task sees more than the lengths of a step or one row per step. The counts per length
+    are written once below the shared checkpoint folder: the lengths are not computed twice.
     """
+    prepared(lengths.sparkSession)
     step = F.floor(F.col("n_tokens") / STEP)
     counted = (
         lengths.select(F.col(length).cast("long").alias("n_tokens"))
@@ -49,6 +51,7 @@ def length_histogram(lengths: DataFrame, length: str = "n_tokens") -> DataFrame:
         .agg(F.count(F.lit(1)).alias("documents"))
         .withColumn("step", step)
     )
+    counted = stored(counted, "lengths")
     sums = counted.groupBy("step").agg(
         F.sum("documents").alias("documents"), F.sum(F.col("documents") * F.col("n_tokens")).alias("tokens")
     )
@@ -85,15 +88,32 @@ def length_histogram(lengths: DataFrame, length: str = "n_tokens") -> DataFrame:
 
 
 def tokens_within(histogram: DataFrame, limits: list[int]) -> DataFrame:
-    """For each limit: tokens left after cutting every document to it, documents over it."""
-    spark = histogram.sparkSession
-    asked = F.broadcast(spark.createDataFrame([(int(x),) for x in limits], "context long"))
-    kept = F.least("n_tokens", "context") * F.col("documents")
-    return (
-        histogram.crossJoin(asked)
-        .groupBy("context")
-        .agg(F.sum(kept).alias("tokens"), F.sum(F.when(F.col("n_tokens") > F.col("context"), F.col("documents")).otherwise(0)).alias("documents_over"))
+    """For each limit (context): tokens left after cutting every document to it, documents over it.
+
+    The row of the greatest length that is not above a limit answers it by its suffix sums; below the
+    smallest length every document is cut. One pass finds these rows, one value for each limit. An
+    empty table has 0 of both.
+    """
+    held = F.struct("n_tokens", "total_tokens", "total_documents", "tokens_longer", "documents_longer")
+    own = histogram.agg(
+        *(F.max_by(held, F.when(F.col("n_tokens") <= limit, F.col("n_tokens"))).alias(f"at{k}") for k, limit in enumerate(limits)),
+        F.max("total_documents").alias("documents"),
     )
+    rows = F.array(
+        *(
+            F.struct(
+                F.lit(int(limit)).cast("long").alias("context"),
+                F.coalesce(
+                    F.col(f"at{k}.total_tokens") - F.col(f"at{k}.tokens_longer") + limit * F.col(f"at{k}.documents_longer"),
+                    limit * F.col("documents"),
+                    F.lit(0),
+                ).cast("long").alias("tokens"),
+                F.coalesce(f"at{k}.documents_longer", "documents", F.lit(0)).cast("long").alias("documents_over"),
+            )
+            for k, limit in enumerate(limits)
+        )
+    )
+    return own.select(F.explode(rows).alias("row")).select("row.*")
 
 
 def length_quantile(histogram: DataFrame, shares: list[float]) -> DataFrame:

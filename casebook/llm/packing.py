@@ -77,14 +77,14 @@ class OpenWindows:
 
 def pack(
     df: DataFrame, id: str = "doc_id", ids: str = "ids", window: int = WINDOW, open_windows: int = OPEN, merged: int = MERGED,
-    reader: Callable[[], Callable[[object], bytes | None]] | None = None,
+    reader: Callable[[], Callable[[list], list]] | None = None,
 ) -> DataFrame:
     """Pieces of documents and their places in sequences of at most ``window`` tokens.
 
     ``ids`` holds a document's token ids as little-endian unsigned 32-bit integers; or anything else
-    from which ``reader`` makes them: it is called once in a task and returns the function that is
-    called for each document (its ``release``, if any, at the end of the task), so that texts can be
-    encoded and packed in one pass. A document
+    from which ``reader`` makes them: it is called once in a task and returns the function from the
+    values of a batch to their ids (its ``release``, if any, is called at the end of the task), so that
+    texts can be encoded and packed in one pass. A document
     longer than a window is cut into full windows and a last piece; last pieces are placed as the
     module text says, and cut only when open windows are merged. Rows out: id, start (tokens of the
     document before the piece), length, ids (of the piece), doc_tokens, sequence_id, offset.
@@ -103,7 +103,7 @@ def pack(
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         windows, rows, emitted = OpenWindows(window, open_windows), None, 0
-        read = reader() if reader else lambda data: data
+        read = reader() if reader else lambda values: values
 
         def emit(pieces: list[tuple], still_open: bool) -> None:
             nonlocal emitted
@@ -116,8 +116,8 @@ def pack(
 
         for batch in batches:
             rows = rows or Rows(_arrow(batch.schema.field(0).type))
-            for doc, given in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                data = read(given) or b""
+            for doc, data in zip(batch.column(0).to_pylist(), read(batch.column(1).to_pylist()), strict=True):
+                data = data or b""
                 tokens = len(data) // WIDTH
                 cut = tokens - tokens % window
                 for start in range(0, cut, window):

@@ -39,23 +39,13 @@ def tokenizer(spark: SparkSession) -> bpe.Tokenizer:
     return bpe.Tokenizer(spark, public_tokenizers.path(WORD_BPE))
 
 
-def packed(docs: DataFrame, forget: bool = False) -> DataFrame:
-    """The pieces of documents of the word BPE, each document closed by id 1.
-
-    With ``forget`` a worker drops the words it remembers at the end of each task: slower by some of
-    its words, but the memory is free for what else the workers' executors do.
-    """
+def packed(docs: DataFrame) -> DataFrame:
+    """The pieces of documents of the word BPE, each document closed by id 1."""
     coder = tokenizer(docs.sparkSession)
 
     def reader():
         encoder = coder.encoder()
-
-        def closed(text):
-            return encoder.encode(text) + b"\x01\0\0\0"
-
-        if forget:
-            closed.release = encoder.forget
-        return closed
+        return lambda texts: [ids + b"\x01\0\0\0" for ids in encoder.encode_all(texts)]
 
     return packing.pack(docs, ids="text", reader=reader)
 

@@ -72,16 +72,45 @@ def test_one_path_per_word(coder):
 
     rng = random.Random(5)
     words = ["".join(rng.choice("thanedig") for _ in range(rng.randrange(1, 9))) for _ in range(200)]
-    for word in [*words, "aaaaaaa", "!!!!!!!", "zzzz"]:
-        assert list(paths(word + bpe.END, None)) == [coder.walk(word)]
+    for word in [*words, "aaaaaaa", "zzzz"]:
+        assert list(paths(word + bpe.END, None)) == [ids(coder, word)]
 
 
-def test_memory_is_bounded(coder, library, monkeypatch):
-    monkeypatch.setattr(bpe, "MEMORY", 5)
-    monkeypatch.setattr(bpe, "STEPS", 5)
-    text = " ".join(f"wordnumber{k}" for k in range(50))
+def test_compiled_table_spells_every_entry(coder, library):
+    """The compiled transitions lead from the beginning along every entry to that entry alone."""
+    table = coder.transitions
+    codes = {letter: code for code, letter in enumerate(bpe.byte_letters())}
+    for name, entry in list(coder.automaton.ids.items())[::7]:
+        letters = [bpe.ENDED if letter == bpe.END else codes[letter] for letter in name]
+        if not any(bpe.FIRST_SPECIAL <= c < bpe.ENDED for c in letters):
+            made = table.made
+            assert table.last[table.read(0, letters)] == entry and table.made == made
+
+
+def test_states_are_bounded(library, monkeypatch):
+    """The table starts anew when it is full, between groups of words and within a long word."""
+    monkeypatch.setattr(bpe, "STATES", 50)
+    monkeypatch.setattr(bpe, "GROUP", 64)
+    with open(PATH, "rb") as file:
+        data = file.read()
+    coder = bpe.Encoder(bpe.Automaton(json.loads(data)), data)
+    rng = random.Random(6)
+    long = "".join(rng.choice("abcdefgh") for _ in range(3000))
+    text = " ".join([*(f"wordnumber{k}" for k in range(50)), long, "x" * 500, "end"])
     assert ids(coder, text) == library.encode(text, add_special_tokens=False).ids
-    assert len(coder.known) <= 6 and len(coder.older) <= 320_000 and len(coder.steps) <= 6
+    assert len(coder.transitions.states) < 300
+
+
+def test_long_texts_are_encoded_in_parts(coder, library, monkeypatch):
+    monkeypatch.setattr(bpe, "PART", 40)
+    text = " ".join(["don't stop <|endoftext|> it's ’quoted’ 日本語 ünï 12345"] * 30) + "x" * 300
+    assert ids(coder, text) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_batches_equal_single_texts(coder):
+    rng = random.Random(7)
+    texts = [None, "", *("".join(rng.choice("".join(ALPHABETS)) for _ in range(rng.randrange(60))) for _ in range(300)), " ", "a" * 300]
+    assert coder.encode_all(texts) == [coder.encode(t) for t in texts]
 
 
 def test_rows(spark, frame, library):
