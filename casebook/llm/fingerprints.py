@@ -7,13 +7,11 @@ and a text is shuffled once.
 
 from __future__ import annotations
 
-import bisect
 import hashlib
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casebook.llm.common import prepared, with_columns
@@ -33,6 +31,16 @@ def add_fingerprint(df: DataFrame, text: str = "text", name: str = "fingerprint"
     return with_columns(df, [text], {name: "string"}, lambda: lambda texts: ([shown(fingerprint(t or "")) for t in texts],))
 
 
+def range_of(id: Column, cuts: list[int]) -> Column:
+    """The number of cuts, in ascending order, that an id reaches, by bisection."""
+    if not cuts:
+        return F.lit(0).cast("long")
+    steps = [1 << k for k in reversed(range(len(cuts).bit_length()))]
+    held = F.array(*map(F.lit, cuts))
+    reach = lambda at, step: F.when(F.get(held, at + step - 1) <= id, at + step).otherwise(at)
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), reach).cast("long")
+
+
 class Neighbours:
     """Rows of one range in order; each is finished when its successor has been parsed."""
 
@@ -83,19 +91,14 @@ def compare_with_next(df: DataFrame, id: str = "doc_id", text: str = "text") ->
     spark = prepared(df.sparkSession)
     docs = df.select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     n = RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = docs.select("id").approxQuantile("id", [k / n for k in range(1, n)], 0.25 / n)
-    sent = spark.sparkContext.broadcast(sorted({int(c) for c in cuts}))
-
-    @F.pandas_udf("long")
-    def range_of(ids: pd.Series) -> pd.Series:
-        return ids.map(lambda k: bisect.bisect_right(sent.value, k)).astype("int64")
-
-    known = docs.filter("id is not null").withColumn("range", range_of("id"))
+    found = docs.select("id").approxQuantile("id", [k / n for k in range(1, n)], 0.25 / n)
+    cuts = sorted({int(c) for c in found})
+    known = docs.filter("id is not null").withColumn("range", range_of(F.col("id"), cuts))
     # One row per range: its first document, which the range above it needs as its last neighbour.
     heads = sorted(tuple(r) for r in known.groupBy("range").agg(F.max("id")).collect())
     above = [heads[k + 1][0] for k in range(len(heads) - 1)] + [heads[0][0] if heads else 0]
     guests = spark.createDataFrame([(head, to) for (_, head), to in zip(heads, above, strict=False)], "id long, range long")
-    strays = docs.filter("id is null").withColumn("range", -1 - F.pmod(F.xxhash64("text"), F.lit(STRAYS)))
+    strays = docs.filter("id is null").withColumn("range", len(cuts) + 1 + F.pmod(F.xxhash64("text"), F.lit(STRAYS)))
     rows = (
         known.unionByName(strays)
         .withColumn("guest", F.lit(False))
@@ -119,7 +122,8 @@ def compare_with_next(df: DataFrame, id: str = "doc_id", text: str = "text") ->
         rows.close("")
         yield _batch(rows.done)
 
-    ordered = rows.select("id", "text", "range", "guest").repartition("range").sortWithinPartitions("range", "guest", F.desc("id"), "text")
+    # Ranges are partitions, so they are of one size; rows without an id are dealt over them.
+    ordered = rows.select("id", "text", "range", "guest").repartitionById(len(cuts) + 1, F.col("range").cast("int")).sortWithinPartitions("range", "guest", F.desc("id"), "text")
     return ordered.mapInArrow(compare, SCHEMA).withColumnRenamed("id", id)
 
 

@@ -8,70 +8,87 @@ how many of them occur in both, estimate the Jaccard similarity of the phrase se
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 
 from casebook.llm.common import mixed
 
 #: Hashes of a fingerprint.
 KEPT = 64
+#: Bits of a dictionary key that hold the letter; the others hold the number of the phrase before it.
+LETTER_BITS = 21
+#: Base of the phrases' hashes.
+BASE = 0x9E3779B97F4A7C15
 
 
 class Parse:
     """The phrases of a text so far; parsing goes on where it stopped.
 
-    A dictionary entry is a dict from letter to entry; under 0 it holds the CRC-32 of its phrase's
-    UTF-8 bytes, which that of a longer phrase continues.
+    The dictionary is flat: the number of a phrase by the number of the phrase without its last
+    letter and that letter. Phrases are numbered from 1 in the order they are met, so its keys, in
+    order, tell how each continues an earlier one.
     """
 
     def __init__(self):
-        self.root: dict = {0: 0}
-        self.node = self.root
-        self.marks: list[int] = []
-
-    def feed(self, text: str) -> list[tuple[dict, str]]:
-        """Parses further text; returns the dictionary entries it made.
-
-        The end of a text that completes no phrase equals a phrase that is there already.
-        """
-        made = []
-        root, node, marks, crc = self.root, self.node, self.marks, zlib.crc32
-        for letter in text:
-            after = node.get(letter)
-            if after is None:
-                mark = crc(letter.encode("utf-8", "surrogatepass"), node[0])
-                node[letter] = {0: mark}
-                made.append((node, letter))
-                marks.append(mark)
-                node = root
-            else:
-                node = after
+        self.found: dict[int, int] = {}
+        self.node = 0
+
+    def feed(self, text: str) -> None:
+        """Parses further text. Its end, if it completes no phrase, equals a phrase that is there already."""
+        found, node = self.found, self.node
+        number, step, get = len(found) << LETTER_BITS, 1 << LETTER_BITS, found.get
+        for letter in letters(text):
+            key = node + letter
+            node = get(key, 0)
+            if not node:
+                number += step
+                found[key] = number
         self.node = node
-        return made
 
-    def mark(self) -> tuple:
-        return self.node, len(self.marks)
+    def mark(self) -> tuple[int, int]:
+        return self.node, len(self.found)
 
-    def back(self, mark: tuple, made: list[tuple[dict, str]]) -> None:
+    def back(self, mark: tuple[int, int]) -> None:
         """Undoes what was parsed since the mark."""
-        for node, letter in reversed(made):
-            del node[letter]
         self.node, n = mark
-        del self.marks[n:]
+        for _ in range(len(self.found) - n):
+            self.found.popitem()
 
+    def hashes(self) -> np.ndarray:
+        """The smallest ``KEPT`` distinct 32-bit hashes of the phrases, sorted.
 
-def hashes(marks: list[int]) -> np.ndarray:
-    """The smallest ``KEPT`` distinct 32-bit hashes of phrases, sorted."""
-    found = np.unique((mixed(np.array(marks, np.uint64) + np.uint64(1)) >> np.uint64(32)).astype(np.uint32))
-    return found[:KEPT]
+        A phrase's hash is a polynomial of its letters; phrases take over what the phrases they
+        continue have, in steps that double.
+        """
+        keys = np.fromiter(self.found, np.int64, len(self.found))
+        before = np.concatenate((np.zeros(1, np.int64), keys >> LETTER_BITS))
+        value = np.zeros(len(before), np.uint64)
+        value[1:] = mixed((keys & (1 << LETTER_BITS) - 1).astype(np.uint64) + np.uint64(1))
+        power = BASE
+        while before.any():
+            value += value[before] * np.uint64(power)
+            before = before[before]
+            power = power * power & (1 << 64) - 1
+        marks = (mixed(value[1:] + np.uint64(1)) >> np.uint64(32)).astype(np.uint32)
+        if len(marks) > 4 * KEPT:
+            least = np.unique(np.partition(marks, 2 * KEPT)[: 2 * KEPT])
+            if len(least) >= KEPT:
+                return least[:KEPT]
+        return np.unique(marks)[:KEPT]
+
+
+def letters(text: str) -> bytes | list[int]:
+    """The code points of a text."""
+    try:
+        return text.encode("latin-1")
+    except UnicodeEncodeError:
+        return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").tolist()
 
 
 def fingerprint(text: str) -> np.ndarray:
     """The fingerprint of a whole text; empty for the empty text."""
     parse = Parse()
     parse.feed(text)
-    return hashes(parse.marks)
+    return parse.hashes()
 
 
 def shown(marks: np.ndarray) -> str:
@@ -98,8 +115,8 @@ def edited_pair(text: str, other: str) -> tuple[np.ndarray, np.ndarray, str]:
     parse = Parse()
     parse.feed(begin)
     mark = parse.mark()
-    made = parse.feed(end)
-    own = hashes(parse.marks)
-    parse.back(mark, made)
+    parse.feed(end)
+    own = parse.hashes()
+    parse.back(mark)
     parse.feed(tail)
-    return own, hashes(parse.marks), begin + tail
+    return own, parse.hashes(), begin + tail

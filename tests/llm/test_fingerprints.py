@@ -1,12 +1,39 @@
 import hashlib
-import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from casebook.llm import fingerprints, phrases
 from casebook.llm.queries import op8
 
 
+M = (1 << 64) - 1
+
+
+def mix(x):
+    x ^= x >> 30
+    x = x * 0xBF58476D1CE4E5B9 & M
+    x ^= x >> 27
+    x = x * 0x94D049BB133111EB & M
+    return x ^ x >> 31
+
+
+def plain_fingerprint(text):
+    """The 64 smallest hashes of the phrases, each a polynomial of its letters."""
+    found = set()
+    for phrase in phrase_list(text):
+        value = 0
+        for letter in phrase:
+            value = (value * 0x9E3779B97F4A7C15 + mix(ord(letter) + 1)) & M
+        found.add(mix(value + 1 & M) >> 32)
+    return sorted(found)[:64]
+
+
+def plain_likeness(a, b):
+    both = sorted({*a, *b})[:64]
+    return sum(x in a and x in b for x in both) / len(both) if both else 1.0
+
+
 def expected(docs):
     """(id, text) in descending order of ids: the contract's columns, computed one by one."""
     out = {}
@@ -14,10 +41,10 @@ def expected(docs):
         other = docs[(k + 1) % len(docs)][1]
         half = len(t) // 2
         edited = t[: len(t) - half] + other[:half]
-        own, changed, following = (phrases.fingerprint(x) for x in (t, edited, other))
+        own, changed, following = (plain_fingerprint(x) for x in (t, edited, other))
         out[i] = (
-            len(t), hashlib.sha256(edited.encode()).hexdigest(), phrases.shown(own), phrases.shown(changed),
-            phrases.likeness(own, changed), phrases.likeness(own, following),
+            len(t), hashlib.sha256(edited.encode()).hexdigest(), "".join(f"{x:08x}" for x in own), "".join(f"{x:08x}" for x in changed),
+            plain_likeness(own, changed), plain_likeness(own, following),
         )
     return out
 
@@ -56,13 +83,26 @@ def test_parse(text):
         parse.feed(letter)
     whole = phrases.Parse()
     whole.feed(text)
-    assert parse.marks == whole.marks == [zlib.crc32(p.encode()) for p in phrase_list(text)]
+    assert parse.found == whole.found and list(whole.found) == list(parse.found)
+    # Each key continues an earlier phrase by a letter: the phrases spelled out again.
+    spelled = [""]
+    for key in whole.found:
+        spelled.append(spelled[key >> phrases.LETTER_BITS] + chr(key & (1 << phrases.LETTER_BITS) - 1))
+    assert spelled[1:] == phrase_list(text)
+    assert whole.hashes().tolist() == plain_fingerprint(text)
     mark = whole.mark()
-    whole.back(mark, whole.feed("some more text"))
+    whole.feed("some more text")
+    whole.back(mark)
     whole.feed("end")
     again = phrases.Parse()
     again.feed(text + "end")
-    assert whole.marks == again.marks
+    assert list(whole.found.items()) == list(again.found.items()) and whole.node == again.node
+
+
+def test_ranges(spark):
+    for cuts in ([], [5], [-3, 0, 4, 9], list(range(0, 70, 7))):
+        rows = spark.range(-10, 80).select("id", fingerprints.range_of(F.col("id"), cuts).alias("r")).collect()
+        assert all(r.r == sum(c <= r.id for c in cuts) for r in rows)
 
 
 def test_likeness_estimates_the_phrase_sets():
