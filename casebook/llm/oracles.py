@@ -122,3 +122,41 @@ with words as (
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, failed_rules, failed_rules = '' as kept
 from verdicts
 """
+
+COLLOCATIONS = rf"""
+with pieces as (
+    select coalesce(lang, 'und') as lang,
+        unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents
+), words as (
+    select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+), places as (
+    select lang, w, unnest(range(1, len(w) + 1)) as i from words
+), grams as (
+    select lang, k as size, array_to_string(w[i:i + k - 1], ' ') as phrase
+    from places, (select unnest(range(1, 6)) as k) where i + k - 1 <= len(w)
+), counts as (
+    select lang, size, phrase, count(*) as f from grams group by all
+), totals as (
+    select lang, sum(f) as n from counts where size = 1 group by lang
+), candidates as (
+    select lang, phrase, f as a, size, string_split(phrase, ' ') as w from counts where size > 1 and f >= 100
+), parts as (
+    select lang, array_to_string(w[i:i + k - 1], ' ') as phrase, max(a) as most
+    from (select *, unnest(range(1, size + 1)) as i from candidates), (select unnest(range(2, 5)) as k)
+    where k < size and i + k - 1 <= size group by all
+), cuts as (
+    select c.lang, c.phrase, c.a, k, l.f as l, r.f as r, n,
+        cast(1000 * cast(c.a as hugeint) * n // (cast(l.f as hugeint) * r.f) as bigint) as score
+    from (select *, unnest(range(1, size)) as k from candidates) c
+    join counts l on l.lang = c.lang and l.phrase = array_to_string(c.w[1:k], ' ')
+    join counts r on r.lang = c.lang and r.phrase = array_to_string(c.w[k + 1:], ' ')
+    join totals t on t.lang = c.lang
+), lowest as (
+    select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), ranked as (
+    select o.*, row_number() over (partition by o.lang order by score desc, a desc, o.phrase) as rank
+    from lowest o left join parts p on p.lang = o.lang and p.phrase = o.phrase where p.most is null or 100 * p.most < 100 * o.a
+)
+select lang, rank, phrase, a, l, r, cast(n as bigint) as n, score from ranked where rank <= 2000
+"""

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.llm import bpe, classifier, counts, fingerprints, lines, minhash, oracles, packing, rules, urls, warc
-from casebook.llm.common import table
+from casebook.llm import bpe, classifier, collocations, counts, fingerprints, lines, minhash, neighbours, oracles, packing, periodic, rules, urls, warc
+from casebook.llm.common import table, with_columns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -122,3 +123,44 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     judged = rules.judge(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "failed_rules", "kept")
+
+
+@query("op11_nearest_vectors")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return neighbours.nearest(vectors, F.col("vec_id") % 100 == 0, id="vec_id", vector="embedding", k=10)
+
+
+@query("op12_collocations", oracles.COLLOCATIONS)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of each language with the highest scores."""
+    return collocations.collocations(table(spark, sf_dir, "documents", "lang", "text"))
+
+
+def looped(id: int | None, text: str | None) -> str | None:
+    """The text that the contract of op13 makes of a document: in one of ten the words go in a circle."""
+    mark = zlib.crc32(str(id).encode())
+    if id is None or not text or mark % 10:
+        return text
+    words, g = text.encode().split(), mark // 10
+    if not words:
+        return text
+    a = g % len(words)
+    p = 1 + (len(words) - a) // (3 + g % 8)
+    return b" ".join(words[:a] + [words[a + k % p] for k in range(len(words) - a)]).decode()
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document, some of them made periodic first."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    docs = with_columns(docs, ["doc_id", "text"], {"text": "string"}, lambda: lambda ids, texts: (list(map(looped, ids, texts)),))
+    found = periodic.add_runs(docs)
+    n, shown = (F.size("runs") / 3).cast("long"), F.col("runs").cast("array<string>")
+    row = lambda k: F.concat(F.get(shown, 3 * k), F.lit(","), F.get(shown, 3 * k + 1), F.lit(","), F.get(shown, 3 * k + 2), F.lit("\n"))
+    rows = F.when(n == 0, "").otherwise(F.array_join(F.transform(F.sequence(F.lit(0), (n - 1).cast("int")), row), ""))
+    return found.select(
+        "doc_id", n.alias("n_runs"), "start", "length", "period", F.expr("1000 * length div period").alias("exponent_milli"),
+        F.sha2(rows, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
