@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from casebook.constants import FIRST_READING_DATE, LINK
 from casebook.operators.quality import require_unique
@@ -20,7 +20,7 @@ from casebook.plans.deaths import deaths
 from casebook.plans.hospital import eligible_people, hospital_prep
 from casebook.plans.labels import LABELS, Labels
 from casebook.session import shared_dir
-from casebook.sources.writers import write_table
+from casebook.sources.writers import keep
 
 
 def _ruled(df: DataFrame, broken: DataFrame) -> DataFrame:
@@ -62,8 +62,12 @@ class Run:
     """The products of some sources, each an attribute that is written when first asked for.
 
     A product is written below ``out`` (a shared folder by default) and read back, so that what
-    follows starts from a table. Keys that must be unique are checked on the written table; a
+    follows starts from a table. Keys that must be unique are checked before a product is published; a
     repeated key, or a failed row of the report, raises. ``seconds`` holds the time of each write.
+
+    A second run with the same ``out`` takes over the products whose inputs and plans are the same, also
+    those that a run finished before it died, and makes the others. ``observed`` holds the counts that the
+    report needs, gathered while a product is written.
     """
 
     sources: Sources
@@ -76,16 +80,18 @@ class Run:
     labels: Labels = LABELS
     out: str | None = None
     seconds: dict[str, float] = field(default_factory=dict)
+    observed: dict[str, dict] = field(default_factory=dict)
 
     def _keep(
-        self, name: str, df: DataFrame, unique: Sequence[str] = (), by: Sequence[str] = ()
-    ) -> DataFrame:
+        self, name: str, df: DataFrame, unique: Sequence[str] = (), by: Sequence[str] = (),
+        observed: dict[str, Column] | None = None,
+    ) -> DataFrame:
         self.out = self.out or shared_dir(df.sparkSession, "run")
         began = time.perf_counter()
-        written = write_table(df, f"{self.out}/{name}", partition_by=by)
-        if unique:
-            require_unique(written, unique, name)
-        self.seconds[name] = time.perf_counter() - began
+        check = (lambda rows: require_unique(rows, unique, name)) if unique else None
+        written, self.observed[name], new = keep(df, f"{self.out}/{name}", by, observed, check)
+        if new:
+            self.seconds[name] = time.perf_counter() - began
         return written.select(*df.columns)
 
     @cached_property
@@ -151,7 +157,8 @@ class Run:
         df = events_plan.events(
             self.cohort, self.episodes, self.deaths, self.readings, self.labels
         )
-        return self._keep("events", df, ["record_id"], by=["dataset", "category"])
+        counts = report_plan.events_counts(df, self.labels)
+        return self._keep("events", df, ["record_id"], ["dataset", "category"], counts)
 
     @cached_property
     def demographic(self) -> DataFrame:
@@ -168,7 +175,7 @@ class Run:
         df = patient_plan.patient(
             self.events, self.diagnoses, self.demographic, self.labels, self.patient_base
         )
-        return self._keep("patient", df, LINK)
+        return self._keep("patient", df, LINK, observed=report_plan.patient_counts(df, self.cohorts))
 
     @cached_property
     def patient_base(self) -> DataFrame:
@@ -202,7 +209,8 @@ class Run:
     @cached_property
     def report(self) -> DataFrame:
         """The report on events and patients."""
-        df = report_plan.report(self.events, self.patient, self.cohorts, self.labels)
+        events, patients = self.events, self.patient
+        df = report_plan.report(events, patients, self.cohorts, self.labels, self.observed["events"], self.observed["patient"])
         written = self._keep("report", df)
         if not report_plan.failures(written).isEmpty():
             raise RuntimeError("the report has failures: see the report table")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casebook.operators.shaping import rename_map, union_all
+from casebook.sources.published import Published
 from casebook.sources.writers import hard_cache
 
 # Yearly tables starting before this two-digit year come from the old store.
@@ -17,8 +18,12 @@ SNAPSHOT_DATE = r"\d{4}_\d{2}_\d{2}"
 
 
 def read_source(spark: SparkSession, source: str, columns: Sequence[str] | None = None):
-    """A table of the catalog, or the Parquet files below a path."""
-    df = spark.read.parquet(source) if "/" in source else spark.table(source)
+    """A table of the catalog, the newest version of a published table, or the Parquet files below a path."""
+    if "/" not in source:
+        df = spark.table(source)
+    else:
+        table = Published(spark, source)
+        df = table.read() if table.exists() else spark.read.parquet(source)
     return df.select(*columns) if columns else df
 
 

@@ -1,16 +1,18 @@
 """Writing tables, upserts, archives and audit fields."""
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casebook.functions.values import joined
 from casebook.operators.quality import require_unique
 from casebook.session import shared_dir
+from casebook.sources.fingerprint import fingerprint
+from casebook.sources.published import Published
 
 AUDIT = "META"
 
@@ -20,21 +22,52 @@ def write_table(
 ) -> DataFrame:
     """Write to a path (or a catalog table) and return what was written.
 
-    Without ``overwrite`` an existing target is an error.
+    Without ``overwrite`` an existing target is an error. A path becomes a :class:`Published` table: what
+    it held before stays readable, also while it is overwritten, and a write that dies leaves it as it was.
     """
+    if "/" in target:
+        table = Published(df.sparkSession, target)
+        if table.exists() and not overwrite:
+            raise ValueError(f"{target} exists")
+        return table.overwrite(df, partition_by)
     writer = df.write.mode("overwrite" if overwrite else "errorifexists").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if "/" in target:
-        writer.save(target)
-        return df.sparkSession.read.parquet(target)
     writer.saveAsTable(target)
     return df.sparkSession.table(target)
 
 
 def hard_cache(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write to the shared folder and read back: a cut in the lineage that outlives executors."""
-    return write_table(df, shared_dir(df.sparkSession, name), partition_by=partition_by)
+    path = shared_dir(df.sparkSession, name)
+    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def keep(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    observed: Mapping[str, Column] | None = None,
+    check: Callable[[DataFrame], object] | None = None,
+) -> tuple[DataFrame, dict, bool]:
+    """The published table of a product, written only if it was not made from the same inputs before.
+
+    ``check`` and ``observed`` (aggregates, by name) are part of the write: rows that fail the check are not
+    published, and the aggregates are gathered while the rows are written and kept with them. Returns the
+    table, the aggregates, and whether it was written now. See :func:`fingerprint` for what counts as the same.
+    """
+    table = Published(df.sparkSession, path)
+    made_from = fingerprint(df, partition_by, [str(c) for c in (observed or {}).items()])
+    if made_from and table.exists():
+        note = table.describe()["note"]
+        if note.get("made_from") == made_from:
+            return table.read(), note["observed"], False
+    seen = Observation()
+    rows = df.observe(seen, *(c.alias(n) for n, c in observed.items())) if observed else df
+    values = lambda: {"made_from": made_from, "observed": dict(seen.get) if observed else {}}
+    written = table.overwrite(rows, partition_by, values, check)
+    return written, table.describe()["note"]["observed"], True
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -66,9 +99,12 @@ def archive_path(root: str, name: str, day: date, version: str, params_version:
 
 
 def archive_snapshot(df: DataFrame, path: str) -> DataFrame:
-    """Copy a table to a versioned path; an archive that exists already is left as it is."""
-    df.write.mode("ignore").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Copy a table to a versioned path; an archive that exists already is left as it is.
+
+    An archive exists once it is published: one whose write died is made anew.
+    """
+    table = Published(df.sparkSession, path)
+    return table.read() if table.exists() else table.overwrite(df)
 
 
 def export_csv_ready(df: DataFrame) -> DataFrame:

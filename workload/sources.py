@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from casebook.operators import shaping
 from casebook.session import shared_dir
 from casebook.sources import readers, writers
+from casebook.sources.published import Published
 from workload.registry import query
 from workload.views import Tables, day
 
@@ -92,7 +93,9 @@ def _(t: Tables):
         F.when(status == "F", "changed").when(status == "O", "new").otherwise("unkeyed")
         .alias("o_orderstatus"),
     )
-    return writers.upsert(target, source, ["o_orderkey"])
+    table = Published(t.spark, shared_dir(t.spark, "merged"))
+    table.overwrite(target)
+    return table.merge(source, ["o_orderkey"])
 
 
 @query("sorted_arrays", """
@@ -162,7 +165,32 @@ def _(t: Tables):
 
 @query("compact", _ORDERS)
 def _(t: Tables):
-    return writers.hard_cache(writers.compact(_orders(t)), "compact")
+    table = Published(t.spark, shared_dir(t.spark, "compact"))
+    table.overwrite(_orders(t).repartition(7), ["o_orderstatus"])
+    return table.compact()
+
+
+@query("merge_month", """
+    SELECT o_orderkey, o_custkey, CASE WHEN month(o_orderdate) = 3 THEN 'changed' ELSE o_orderstatus END
+        AS o_orderstatus, CAST(month(o_orderdate) AS INTEGER) AS month FROM orders""")
+def _(t: Tables):
+    """Orders by month, into which changes of one month are merged: only its files are written anew."""
+    month = F.month("o_orderdate").alias("month")
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", month)
+    table = Published(t.spark, shared_dir(t.spark, "by-month"))
+    table.overwrite(orders, ["month"])
+    changes = orders.where("month = 3").select("o_orderkey", "month", F.lit("changed").alias("o_orderstatus"))
+    return table.merge(changes, ["o_orderkey", "month"])
+
+
+@query("clone_table", _ORDERS)
+def _(t: Tables):
+    """A copy that shares the files of the table it was made from, whatever is written there later."""
+    table = Published(t.spark, shared_dir(t.spark, "original"))
+    table.overwrite(_orders(t), ["o_orderstatus"])
+    copy = table.clone(shared_dir(t.spark, "copy"), deep=False)
+    table.overwrite(_orders(t).limit(0), ["o_orderstatus"])
+    return copy.read()
 
 
 @query("archive_snapshot", _ORDERS)
