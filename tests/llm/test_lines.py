@@ -1,37 +1,11 @@
 import random
 
+import pytest
+
 from casebook.llm import lines
 from casebook.llm.queries import op6
 
 
-def brute(docs, block=lines.BLOCK_WORDS, least=lines.LINE_WORDS):
-    """The rule spelled out: every document against all first holders of its lines."""
-    norm = {i: [" ".join(x.split()) for x in t.split("\n")] for i, t in docs.items()}
-    first = {}
-    for i in sorted(norm):
-        for x in norm[i]:
-            first.setdefault(x, i)
-    out = {}
-    for i, own in norm.items():
-        gone = set()
-        weight = {}
-        for x in own:
-            if len(x.split()) >= least and first[x] < i:
-                weight[first[x]] = weight.get(first[x], 0) + len(x.split())
-        for a, w in weight.items():
-            if w >= block:
-                ids = {x: k for k, x in enumerate(dict.fromkeys([*norm[a], *own]))}
-                gone |= set(lines.repeated_lines([ids[x] for x in norm[a]], [ids[x] for x in own], [len(x.split()) for x in own], block))
-        out[i] = "\n".join(x for k, x in enumerate(docs[i].split("\n")) if k not in gone)
-    return out
-
-
-def test_query_agrees_with_the_rule(spark, sf, documents):
-    got = {r.doc_id: r.text for r in op6(spark, sf).collect()}
-    assert got == brute(documents)
-    assert any(got[i] != documents[i] for i in got)
-
-
 def aligned(a, b):
     """Length of a longest common subsequence."""
     row = [0] * (len(b) + 1)
@@ -42,6 +16,58 @@ def aligned(a, b):
     return row[-1]
 
 
+def shared(earlier, later, words, least):
+    """Lines of the later list in runs of so many words that the earlier one holds, run by run."""
+    gone = set()
+    for s in range(len(later)):
+        for p in range(len(earlier)):
+            k = 0
+            while p + k < len(earlier) and s + k < len(later) and earlier[p + k] == later[s + k]:
+                k += 1
+            if sum(words[s : s + k]) >= least:
+                gone.update(range(s, s + k))
+    return sorted(gone)
+
+
+@pytest.mark.parametrize("kinds", [2, 4, 9, 25])
+@pytest.mark.parametrize("piece", [1, 3, 256])
+def test_alignment_finds_every_block(kinds, piece, monkeypatch):
+    monkeypatch.setattr(lines, "PIECE", piece)
+    rng = random.Random(kinds)
+    size = {k: rng.choice([0, 1, 3, 9, 12]) for k in range(kinds)}
+    for _ in range(300):
+        parts = [[rng.randrange(kinds) for _ in range(rng.randrange(1, 7))] for _ in range(4)]
+        a, b = ([x for _ in range(rng.randrange(7)) for x in [*rng.choice(parts), *[rng.randrange(kinds)] * rng.randrange(2)]] for _ in "ab")
+        words = [size[x] for x in b]
+        assert lines.repeated_lines(a, b, words, 25) == shared(a, b, words, 25)
+
+
+def test_alignment_decides(monkeypatch):
+    """Without either part of the alignment blocks stay."""
+    p, q = list(range(8)), list(range(20, 28))
+    a, b, words = [*p, 100, *q], [*q, 101, *p], [10] * 17
+    assert len(lines.repeated_lines(a, b, words, 25)) == 16
+    monkeypatch.setattr(lines, "exact_blocks", lambda *_: set())
+    assert len(lines.repeated_lines(a, b, words, 25)) == 8
+    monkeypatch.setattr(lines, "patience", lambda *_: [])
+    assert lines.repeated_lines(a, b, words, 25) == []
+
+
+def test_circles_are_aligned_once():
+    line = [3] * 50_000
+    assert lines.repeated_lines(line[:40_000], [*line, 9], [1] * 50_001, 25) == list(range(50_000))
+
+
+def test_a_hot_holder_is_sent_to_in_parts(frame, monkeypatch):
+    """A long first holder whose passage stands in many documents; some of these hold runs of others too."""
+    monkeypatch.setattr(lines, "SENT", 10)
+    docs = {0: "\n".join(f"line {k} of the holder" for k in range(300)) + "\n" + P}
+    docs |= {k: f"own {k}\n{P}\nend {k}" for k in range(1, 80)}
+    docs[90] = docs[0] + "\n" + docs[5]
+    got = {r.doc_id: r.text for r in lines.dedup_lines(frame(list(docs.items()))).collect()}
+    assert got == without_earlier_runs(docs)
+
+
 def test_patience_is_an_alignment():
     rng = random.Random(2)
     for _ in range(400):
