@@ -121,7 +121,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rules' verdict on every document."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
-    judged = rules.judge(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    judged = rules.judge(docs, table(spark, sf_dir, "labels", "doc_id", "quality"), with_text=False)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "failed_rules", "kept")
 
 

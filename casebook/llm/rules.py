@@ -131,7 +131,7 @@ def calibrate(holdout: DataFrame, stratum: str = "stratum", good: str = "good",
 
 def judge(
     df: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", stratum: str = "lang",
-    alpha: float = ALPHA, delta: float = DELTA,
+    alpha: float = ALPHA, delta: float = DELTA, with_text: bool = True,
 ) -> DataFrame:
     """Adds ``STATS``, base_failed, failed_rules (names, parted by commas) and kept to documents.
 
@@ -141,20 +141,31 @@ def judge(
     more than half of the words in repeated windows. With the chance 1 - ``delta`` no stratum loses
     more than ``alpha`` of its good documents to cutoffs. Null and empty texts fail. Repeated rows
     are judged alike; a row without an id is judged but calibrates nothing; an empty table gives no
-    rows. Columns of the added names are replaced.
+    rows. Columns of the added names are replaced; all others pass, whatever their names.
+
+    The statistics are written once. Without ``with_text`` the text is not returned and the texts are
+    read once; with it they are read a second time, which costs less than a copy of them.
     """
-    docs = add_statistics(df.withColumn("_stratum", F.coalesce(F.col(f"`{stratum}`").cast("string"), F.lit(""))), text)
-    marks = labels.groupBy(F.col(id).alias("_id")).agg(F.min("quality").alias("_quality"))
-    facts = stored(docs.select(F.col(f"`{id}`").alias("_id"), "_stratum", *STATS, "base_failed"), "facts")
-    holdout = facts.join(marks, "_id").withColumn("good", F.col("_quality") == 1)
-    cutoffs = stored(calibrate(holdout, "_stratum", "good", alpha, delta).withColumnRenamed("stratum", "_stratum"), "cutoffs")
-    return apply_cutoffs(docs, cutoffs)
+    added = {n.lower() for n in (*STATS, "base_failed", "failed_rules", "kept")}
+    kept = [n for n in df.columns if n.lower() not in added and (with_text or n != text)]
+    # Plain names inside, so that no column of the input can clash with an added one.
+    place = {n: f"c{k}" for k, n in enumerate(df.columns)}
+    flat = df.toDF(*place.values())
+    docs = add_statistics(flat.withColumn("stratum", F.coalesce(F.col(place[stratum]).cast("string"), F.lit(""))), place[text])
+    marks = labels.groupBy(F.col(id).alias("marked")).agg(F.min("quality").alias("quality"))
+    if with_text:
+        facts = stored(docs.select(F.col(place[id]).alias("id"), "stratum", *STATS, "base_failed"), "facts")
+    else:
+        facts = docs = stored(docs.drop(place[text]), "facts").withColumn("id", F.col(place[id]))
+    holdout = facts.join(marks, F.col("id") == F.col("marked")).withColumn("good", F.col("quality") == 1)
+    cutoffs = stored(calibrate(holdout, "stratum", "good", alpha, delta), "cutoffs")
+    judged = apply_cutoffs(docs, cutoffs)
+    return judged.select(*(F.col(place[n]).alias(n) for n in kept), *STATS, "base_failed", "failed_rules", "kept")
 
 
 def apply_cutoffs(docs: DataFrame, cutoffs: DataFrame) -> DataFrame:
-    """The verdict of cutoffs on documents with ``STATS``, base_failed and _stratum."""
-    names = list(CUTOFFS)
-    joined = docs.drop("failed_rules", "kept").join(cutoffs.select("_stratum", *(F.col(f"{n}_cutoff").alias(f"_{n}") for n in names)), "_stratum", "left")
-    broken = [F.when(rate > F.col(f"_{n}"), F.lit(n)) for n, rate in rates().items()]
+    """Adds failed_rules and kept to documents with ``STATS``, base_failed and stratum."""
+    limits = cutoffs.select("stratum", *(F.col(f"{n}_cutoff").alias(f"{n}_limit") for n in CUTOFFS))
+    broken = [F.when(rate > F.col(f"{n}_limit"), F.lit(n)) for n, rate in rates().items()]
     failed = F.concat_ws(",", F.when(F.col("base_failed"), F.lit("base")), *broken)
-    return joined.withColumn("failed_rules", failed).withColumn("kept", F.col("failed_rules") == "").drop("_stratum", *(f"_{n}" for n in names))
+    return docs.join(limits, "stratum", "left").withColumn("failed_rules", failed).withColumn("kept", F.col("failed_rules") == "")

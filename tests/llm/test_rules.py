@@ -85,3 +85,16 @@ def test_rows(spark, frame):
     assert kept == {1: True, 2: False, 3: False, 4: False, None: True, 5: False}
     assert rules.judge(docs.filter("false"), labels).collect() == []
     assert {r.kept for r in rules.judge(docs, labels.filter("false")).collect()} == {True, False}
+
+
+def test_clashing_names_pass_unchanged(spark, frame):
+    """Columns called like inner ones, of this operator or of an earlier form of it, come through."""
+    good = " ".join(f"word{k}" for k in range(60))
+    inner = ("_stratum", "_symbol_rate", "_dup_line_rate", "_repeat_rate", "symbol_rate", "symbol_rate_limit", "stratum", "marked", "quality", "c0", "c1", "good", "_id", "ID2")
+    docs = frame([(k, good) for k in range(4)]).selectExpr("*", "'en' as lang", *(f"concat('own ', doc_id) as `{n}`" for n in inner))
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    for with_text in (True, False):
+        got = rules.judge(docs, labels, with_text=with_text)
+        assert ("text" in got.columns) == with_text and set(inner) <= set(got.columns)
+        for r in got.collect():
+            assert r.kept and all(r[n] == f"own {r.doc_id}" for n in inner) and r.lang == "en"
