@@ -162,7 +162,7 @@ def estimate(counts: dict[str, int], rounds: int = ROUNDS) -> Estimate:
     return out
 
 
-def fit(rows: list[tuple[list[int], list[float], float]]) -> tuple[np.ndarray, float]:
+def fit(rows: list[tuple[np.ndarray, np.ndarray, float]]) -> tuple[np.ndarray, float]:
     """Weights and bias of the linear scorer, from (buckets, shares, weak label) of documents.
 
     Logistic loss on the soft labels with a small penalty, and a fixed number of steps of scaled
@@ -214,8 +214,8 @@ class Model:
 def train(df: DataFrame, id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Model:
     """Counts the votes of all documents, and fits the scorer on a sample of at most ``sample``.
 
-    At most 3 ** 9 pattern counts and the shape counts of the sample reach the driver: an entry for
-    each bucket that a sampled text fills and its share, so at most ``sample * BUCKETS`` of both.
+    At most 3 ** 9 pattern counts and the shape counts of the sample reach the driver: six bytes for
+    each bucket that a sampled text fills, so at most ``6 * sample * BUCKETS`` bytes.
     The sample are the documents with the smallest hashes of their ids, one row of each id; of
     several texts of an id it is the smallest.
     """
@@ -227,23 +227,23 @@ def train(df: DataFrame, id: str = "doc_id", text: str = "text", sample: int = S
     picked = spark.createDataFrame(ids.collect(), ids.schema)
 
     def compute(texts):
-        votes, buckets, shares = [], [], []
+        votes, buckets, counts = [], [], []
         for chunk in chunks((t or "").encode() for t in texts):
             features = Features(chunk)
             votes += [pattern(v) for v in features.votes()]
             for k in range(len(chunk)):
                 own, n = np.unique(features.index[features.firsts[k] : features.firsts[k + 1]], return_counts=True)
-                buckets.append(own.astype(np.int64).tolist())
-                shares.append((n / max(1, n.sum())).tolist())
-        return votes, buckets, shares
+                buckets.append(own.astype("<u2").tobytes())
+                counts.append(n.astype("<u4").tobytes())
+        return votes, buckets, counts
 
     drawn = docs.join(F.broadcast(picked), "id").filter("text is not null").groupBy("id").agg(F.min("text").alias("text")).select("text")
-    kinds = {"votes": "string", "buckets": "array<long>", "shares": "array<double>"}
-    rows = with_columns(drawn, ["text"], kinds, lambda: compute).select("votes", "buckets", "shares").collect()
+    kinds = {"votes": "string", "buckets": "binary", "counts": "binary"}
+    rows = with_columns(drawn, ["text"], kinds, lambda: compute).select("votes", "buckets", "counts").collect()
     # The order of collected rows is not fixed, that of sums over them should be.
-    rows = sorted((r.buckets, r.shares, r.votes) for r in rows if set(r.votes) != {"0"} and r.buckets)
-    labels = model.weak([r[2] for r in rows])
-    model.weights, model.bias = fit([(r[0], r[1], y) for r, y in zip(rows, labels, strict=True)])
+    rows = sorted((bytes(r.buckets), bytes(r.counts), r.votes) for r in rows if set(r.votes) != {"0"} and r.buckets)
+    found = [(np.frombuffer(b, "<u2"), np.frombuffer(n, "<u4"), y) for (b, n, _), y in zip(rows, model.weak([r[2] for r in rows]), strict=True)]
+    model.weights, model.bias = fit([(buckets, counts / counts.sum(), y) for buckets, counts, y in found])
     return model
 
 
