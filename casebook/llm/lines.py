@@ -314,8 +314,7 @@ def dedup_lines(df: DataFrame, id: str = "doc_id", text: str = "text", block_wor
     places = [f"c{k}" for k in range(len(df.columns))]
     flat = df.toDF(*places)
     columns = dict(zip(df.columns, places, strict=True))
-    # Stored, so that Spark knows its size.
-    own = stored(find_repeated(df, id, text, block_words), "line-flags").withColumnRenamed("id", "key")
+    own = find_repeated(df, id, text, block_words).withColumnRenamed("id", "key")
     joined = flat.join(own, flat[columns[id]].cast("long") == own.key, "left")
     parts = F.split(F.col(columns[text]), "\n", -1)
     left = F.array_join(F.filter(parts, lambda _, k: F.get("keep", k)), "\n")
