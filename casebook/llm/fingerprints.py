@@ -14,11 +14,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm.common import prepared, with_columns
+from casebook.llm.common import prepared, release, with_columns
 from casebook.llm.phrases import edited_pair, fingerprint, likeness, shown
 
-#: Ranges of ids for each shuffle partition, and buckets that rows without an id are dealt into.
-RANGES, STRAYS = 4, 1024
+#: Buckets that rows without an id are dealt into.
+STRAYS = 1024
 SCHEMA = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
@@ -86,11 +86,11 @@ def compare_with_next(df: DataFrame, id: str = "doc_id", text: str = "text") ->
     empty text as its next. A single document is its own next. Other columns are not returned; an
     empty table gives no rows.
 
-    The cuts between ranges are quantiles of the ids, a fixed number for each shuffle partition.
+    The cuts between ranges are quantiles of the ids, one range for each shuffle partition.
     """
     spark = prepared(df.sparkSession)
     docs = df.select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    n = RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = docs.select("id").approxQuantile("id", [k / n for k in range(1, n)], 0.25 / n)
     cuts = sorted({int(c) for c in found})
     known = docs.filter("id is not null").withColumn("range", range_of(F.col("id"), cuts))
@@ -121,6 +121,7 @@ def compare_with_next(df: DataFrame, id: str = "doc_id", text: str = "text") ->
             rows.done = []
         rows.close("")
         yield _batch(rows.done)
+        release(compare)
 
     # Ranges are partitions, so they are of one size; rows without an id are dealt over them.
     ordered = rows.select("id", "text", "range", "guest").repartitionById(len(cuts) + 1, F.col("range").cast("int")).sortWithinPartitions("range", "guest", F.desc("id"), "text")
