@@ -163,9 +163,10 @@ def dedup_ladder(
     """One extract row per key, by a ladder of rules in one sort.
 
     Newest extract (unless it is a key); newest journal entry; no nulls in ``no_nulls_in``; longest
-    journal; then ``tie_columns`` ascending with nulls last, and at the end hashes of the whole row,
-    the journal included, so that the result does not depend on the order of rows: only rows alike
-    in everything are left to chance, and they are interchangeable. A rule that every remaining row
+    journal; then ``tie_columns`` ascending with nulls last. Rows that share the first place after that are
+    ordered by hashes of the whole row, the journal included, so that the result does not depend on the
+    order of rows: only rows alike in everything are left to chance, and they are interchangeable. No hash
+    is made of other rows. A rule that every remaining row
     of a key fails (a missing or empty journal, a null in ``no_nulls_in``) removes the key, so these
     are tested on the winner.
     """
@@ -173,27 +174,20 @@ def dedup_ladder(
     incomplete = F.lit(False)
     for c in no_nulls_in:
         incomplete = incomplete | F.col(c).isNull()
-    rows = df.withColumns(
-        {
-            "_newest_entry": newest_entry,
-            "_incomplete": incomplete,
-            "_length": F.size(journal),
-            "_hash": F.xxhash64(*df.columns),
-            "_hash2": F.hash(*df.columns),
-        }
-    )
+    rows = df.withColumns({"_newest_entry": newest_entry, "_incomplete": incomplete, "_length": F.size(journal)})
     ladder = [
         F.col("_newest_entry").desc_nulls_last(),
         F.col("_incomplete").asc(),
         F.col("_length").desc(),
         *(F.col(c).asc_nulls_last() for c in tie_columns),
-        F.col("_hash").asc(),
-        F.col("_hash2").asc(),
     ]
     if extract_day not in keys:
         ladder.insert(0, F.col(extract_day).desc_nulls_last())
         rows = rows.where(F.col(extract_day).isNotNull())
-    winner = first_per_key(rows, keys, ladder)
+    # Rows that share the first place; of every other key there is one.
+    place = F.rank().over(Window.partitionBy(*keys).orderBy(*ladder))
+    best = rows.withColumn("_rank", place).where("_rank = 1").drop("_rank")
+    winner = first_per_key(best, keys, [F.xxhash64(*df.columns), F.hash(*df.columns)])
     complete = F.col("_newest_entry").isNotNull() & ~F.col("_incomplete")
     return winner.where(complete).select(*df.columns)
 

@@ -105,11 +105,28 @@ def enrich_left(df: DataFrame, *sides: DataFrame, on: Sequence[str]) -> DataFram
     return df
 
 
+def near_before(
+    events: DataFrame, anchors: DataFrame, day: str, anchor: str, on: Sequence[str], days: int
+) -> DataFrame:
+    """Pairs of events and anchors of a key, at least all those with the event 0 to ``days`` before.
+
+    Days are cut into bins of that length. An event lies in one bin, an anchor asks for the two or so that
+    its days reach, and both meet on key and bin: a key with very many events is spread over its bins, and
+    an anchor meets no events of other times. The exact bounds are left to the caller.
+    """
+    number = lambda c: F.datediff(F.col(c), F.lit("1970-01-01").cast("date"))
+    bin_of = lambda c: F.floor(c / days).cast("int")
+    binned = events.withColumn("_bin", bin_of(number(day)))
+    asked = F.sequence(bin_of(number(anchor) - days), bin_of(number(anchor)))
+    asking = anchors.select(*on, anchor).withColumn("_bin", F.explode(asked))
+    return binned.join(asking, [*on, "_bin"], "inner").drop("_bin")
+
+
 def within_months(
     events: DataFrame, anchors: DataFrame, day: str, anchor: str, on: Sequence[str], months=12
 ) -> DataFrame:
     """Events 0 to ``months`` months before the person's anchor date."""
-    dated = events.join(anchors.select(*on, anchor), list(on), "inner")
+    dated = near_before(events, anchors, day, anchor, on, 31 * months + 1)
     return dated.where(dates.within_months_before(F.col(day), F.col(anchor), months))
 
 
@@ -117,5 +134,5 @@ def within_days(
     events: DataFrame, anchors: DataFrame, day: str, anchor: str, on: Sequence[str], days=30
 ) -> DataFrame:
     """Events at most ``days`` before, and strictly before, the person's anchor date."""
-    dated = events.join(anchors.select(*on, anchor), list(on), "inner")
+    dated = near_before(events, anchors, day, anchor, on, max(1, days))
     return dated.where(dates.within_days_before(F.col(day), F.col(anchor), days))

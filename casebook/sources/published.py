@@ -112,7 +112,8 @@ class Published:
         folder = f"{FOLDER}={uuid.uuid4().hex}"
         writer = df.write
         (writer.partitionBy(*by) if by else writer).parquet(f"{self.path}/{folder}")
-        return [self._name(f) for f in self.spark.read.parquet(f"{self.path}/{folder}").inputFiles()]
+        # With a schema, since a partitioned write of no rows leaves no file to take it from.
+        return [self._name(f) for f in self.spark.read.schema(df.schema).parquet(f"{self.path}/{folder}").inputFiles()]
 
     def _name(self, file: str) -> str:
         """A file's name below the table's folder."""

@@ -34,6 +34,8 @@ def test_versions_are_whole_and_stay(spark, tmp_path):
     assert table.versions() == [1, 2] and rows(table.read(1)) == rows(first)
     assert table.describe(1)["note"] == {"by": "me"}
     assert table.overwrite(spark.range(0).toDF("k")).count() == 0 and table.read().columns == ["k"]
+    none = spark.createDataFrame([], "k long, p int")
+    assert table.overwrite(none, ["p"]).count() == 0 and table.read().columns == ["k", "p"]
 
 
 def test_a_write_that_dies_changes_nothing(spark, months):

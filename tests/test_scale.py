@@ -125,3 +125,34 @@ def test_run_on_the_given_tables(spark, tmp_path):
     spells_members = events.where("category = 'spell'").agg(F.sum(F.size("record_id_assoc"))).first()[0]
     assert spells_members == spelled.select("record_id").distinct().count()
     assert set(r.seconds) >= {"events", "patient"}
+
+
+def test_hot_person_meets_anchors_by_bins(shuffled):
+    """A third of all events on one person: they meet its anchor by bins of days, and only near it."""
+    spark = shuffled
+    person = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("p")
+    day = F.date_add(F.lit("2010-01-01").cast("date"), (F.col("id") % 3650).cast("int")).alias("day")
+    events = spark.range(30_000).select(person, day, "id")
+    anchors = events.groupBy("p").agg(F.max("day").alias("anchor"))
+    for found, low, high in (
+        (links.within_days(events, anchors, "day", "anchor", ["p"], 30), 1, 30),
+        (links.within_months(events, anchors, "day", "anchor", ["p"], 12), 0, 366),
+    ):
+        gap = F.datediff("anchor", "day")
+        direct = events.join(anchors, "p").where((gap >= low) & (gap <= high)) if low else events.join(anchors, "p").where(
+            F.months_between("anchor", "day").between(0, 12)
+        )
+        assert rows(found) == rows(direct)
+    paired = links.near_before(events, anchors, "day", "anchor", ["p"], 30)
+    assert paired.where("p = 0").count() < 200  # of 10,000 events
+    assert "_bin" in final_plan(paired) and paired.columns == ["p", "day", "id", "anchor"]
+
+
+def test_ladder_makes_no_hash_for_its_sort(spark):
+    df = spark.createDataFrame(
+        [(k % 5, d("2020-01-01"), "a", [(d("2020-01-01"), "x")]) for k in range(20)], "p int, extract date, area string, journal array<struct<day:date,c:string>>"
+    )
+    text = plan(latest.dedup_ladder(df, ["p"], "extract", "journal", "day", ["area"]))
+    # The tree is printed from the top: hashes are made after the exchange and the first places only.
+    assert text.count("Exchange") == 1 and text.count("WindowGroupLimit") == 3
+    assert "xxhash64" in text[: text.index("Exchange")] and "xxhash64" not in text[text.index("Exchange") :]

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from casebook.operators import history, quality
+from casebook.sources.writers import hard_cache
 from workload.registry import query
 from workload.views import Tables, day
 
@@ -204,3 +205,19 @@ def _(t: Tables):
     return everything.unionByName(nothing.withColumn("what", F.lit("none")))
 
 
+@query("people_sketches", """
+    SELECT event_type AS kind, count(DISTINCT user_id) AS exact, true AS close FROM events GROUP BY 1
+    UNION ALL SELECT 'all', count(DISTINCT user_id), true FROM events
+    UNION ALL SELECT 'not click', count(DISTINCT user_id), true FROM events WHERE event_type <> 'click'""")
+def _(t: Tables):
+    """Distinct users by sketches of each month and kind, put together, within 3 % of the exact counts."""
+    month = F.trunc(F.col("ts").cast("date"), "month").alias("month")
+    events = t.events.select("event_type", "user_id", month)
+    sketches = hard_cache(quality.people_sketches(events, ["month", "event_type"], ["user_id"]), "sketches")
+    kinds = [F.col("event_type"), F.lit("all"), F.when(F.col("event_type") != "click", "not click")]
+    kinds = F.explode(F.array(*kinds)).alias("kind")
+    about = quality.people_of(sketches.select(kinds, "people").where("kind is not null"), ["kind"])
+    exact = events.select(kinds, "user_id").where("kind is not null").groupBy("kind")
+    exact = exact.agg(F.count_distinct("user_id").alias("exact"))
+    close = F.abs(F.col("people") - F.col("exact")) <= 0.03 * F.col("exact")
+    return exact.join(about, "kind").select("kind", "exact", close.alias("close"))

@@ -14,13 +14,15 @@ from workload.views import Tables, day
 
 def _order_years(t: Tables):
     """Orders per year in an old store and a new one, which has other names and covers less."""
-    rows = t.orders.select("o_orderkey", "o_custkey", day("o_orderdate").alias("ordered"))
-    years = readers.by_year(rows.withColumn("year", F.year("ordered")), "year")
     # Moved 20 years on so that both stores are used.
-    old = {f"{(y + 20) % 100:02}{(y + 21) % 100:02}": df.drop("year") for y, df in years.items()}
-    new = {k: v.withColumnRenamed("o_custkey", "customer") for k, v in old.items() if k >= "1920"}
-    marked = {k: v.withColumn("store", F.lit("old")) for k, v in old.items()}
-    return marked, {k: v.withColumn("store", F.lit("new")) for k, v in new.items()}
+    year = F.year("o_orderdate") + 20
+    suffix = F.format_string("%02d%02d", year % 100, (year + 1) % 100)
+    rows = t.orders.select("o_orderkey", "o_custkey", day("o_orderdate").alias("ordered"), suffix.alias("orders"))
+    old, new = shared_dir(t.spark, "old-store"), shared_dir(t.spark, "new-store")
+    rows.withColumn("store", F.lit("old")).write.partitionBy("orders").parquet(old)
+    moved = rows.where("orders >= '1920'").withColumnRenamed("o_custkey", "customer")
+    moved.withColumn("store", F.lit("new")).write.partitionBy("orders").parquet(new)
+    return readers.yearly_paths(t.spark, old, "orders"), readers.yearly_paths(t.spark, new, "orders")
 
 
 @query("union_yearly", """
@@ -29,7 +31,7 @@ def _order_years(t: Tables):
     FROM orders WHERE year(o_orderdate) >= 1997""")
 def _(t: Tables):
     old, new = _order_years(t)
-    return readers.union_yearly(old, new, 17, 99, renames={"customer": "o_custkey"})
+    return readers.scan_yearly(t.spark, old, new, 17, 99, renames={"customer": "o_custkey"})
 
 
 @query("union_all", """
@@ -74,7 +76,9 @@ def _(t: Tables):
 def _(t: Tables):
     name = F.concat(F.lit("extract_"), F.date_format(F.trunc("o_orderdate", "month"), "yyyy_MM_dd"))
     rows = t.orders.select("o_orderkey", readers.snapshot_date(name).alias("snapshot"))
-    return readers.latest_snapshot(rows, "snapshot")
+    path = shared_dir(t.spark, "snapshots")
+    rows.write.partitionBy("snapshot").parquet(path)
+    return readers.newest_partition(t.spark, path, "snapshot")
 
 
 @query("upsert", """
@@ -152,6 +156,22 @@ def _(t: Tables):
     return readers.read_csv_nulls(t.spark, path, rows.columns)
 
 
+@query("read_csv_rejects", """
+    SELECT CAST(p_partkey AS VARCHAR) || ',' || p_brand || CASE WHEN p_size > 40 THEN ',x,y' ELSE '' END AS line,
+        CASE WHEN p_size > 40 THEN 'more fields' ELSE 'fewer fields' END AS reason
+    FROM part WHERE p_size > 25
+    UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'row' FROM part WHERE p_size <= 25""")
+def _(t: Tables):
+    """Lines with two or four fields among those with three: rejects with their reasons, and rows."""
+    key, size = F.col("p_partkey").cast("string"), F.col("p_size")
+    fields = F.when(size > 40, F.array(key, "p_brand", F.lit("x"), F.lit("y"))).when(size > 25, F.array(key, "p_brand"))
+    path = shared_dir(t.spark, "csv")
+    lines = F.array_join(F.coalesce(fields, F.array(key, "p_brand", F.lit(""))), ",")
+    t.part.select(lines.alias("line")).write.text(path)
+    good, rejected = readers.read_csv_checked(t.spark, path, ["p_partkey", "p_brand", "rest"], header=False)
+    return rejected.select("line", "reason").unionByName(good.select(F.col("p_partkey").alias("line"), F.lit("row").alias("reason")))
+
+
 @query("write_table", _ORDERS)
 def _(t: Tables):
     path = shared_dir(t.spark, "orders")
