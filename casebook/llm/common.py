@@ -9,6 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,8 @@ from casebook.session import shared_dir, tune
 
 #: Rows of an Arrow batch. Texts can be long, so batches are kept short.
 BATCH_ROWS = 500
+#: Bytes from which on a word is hashed by itself.
+LONG_WORD = 1024
 #: Bytes of text that the vector code handles at once; a longer text is handled alone.
 CHUNK_BYTES = 1 << 20
 
@@ -167,6 +170,10 @@ class Words:
         values = (_FOLDED if fold else _BYTES)[self.bytes]
         np.cumsum(values * up[: len(self.bytes)], out=sums[1:])
         self.hashes = mixed((sums[self.ends] - sums[self.starts]) * down[self.starts])
+        # Long words could be made to share a sum of that kind.
+        for k in np.flatnonzero(self.ends - self.starts > LONG_WORD).tolist():
+            word = joined[self.starts[k] : self.ends[k]]
+            self.hashes[k] = xxhash.xxh3_64_intdigest(word.lower() if fold else word, 1)
 
     def of(self, k: int) -> slice:
         """The words of the k-th text."""

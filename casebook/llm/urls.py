@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import re
 import string
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -94,6 +95,9 @@ class Trie:
         return None
 
 
+_TRIES: dict[str, Trie] = {}
+
+
 def filter_urls(df: DataFrame, rules: Iterable[tuple[str, str, str]], url: str = "url", default: str = "allow") -> DataFrame:
     """Adds host, path, rule and verdict of each row's URL; one pass without a shuffle.
 
@@ -107,10 +111,14 @@ def filter_urls(df: DataFrame, rules: Iterable[tuple[str, str, str]], url: str =
     rules = list(rules)
     if len(rules) > MOST_RULES:
         raise ValueError(f"{len(rules)} rules; at most {MOST_RULES} are broadcast")
-    sent = prepared(df.sparkSession).sparkContext.broadcast(rules)
+    sent, key = prepared(df.sparkSession).sparkContext.broadcast(rules), uuid.uuid4().hex
 
     def task():
-        trie = Trie(sent.value)
+        # Built once in each worker, not in each of its tasks.
+        if key not in _TRIES:
+            _TRIES.clear()
+            _TRIES[key] = Trie(sent.value)
+        trie = _TRIES[key]
 
         def compute(urls):
             parts = [split_url(u) for u in urls]

@@ -53,3 +53,14 @@ def test_long_texts_are_whole(monkeypatch):
     monkeypatch.setattr(common, "CHUNK_BYTES", 64)
     assert [s.tolist() for s in common.shingle_sets([text, b"a b"], 5)] == [s.tolist() for s in whole]
     assert len(whole[0]) == 5 and len(whole[1]) == 1
+
+
+def test_long_words_are_told_apart():
+    """Words of two letters whose polynomials modulo 2**64 agree (Thue and Morse), folded or not."""
+    word = b"a"
+    for _ in range(12):
+        word += word.translate(bytes.maketrans(b"ab", b"ba"))
+    other = word.translate(bytes.maketrans(b"ab", b"ba"))
+    for fold in (False, True):
+        words = common.Words([word + b" " + other, word.upper()], fold)
+        assert words.hashes[0] != words.hashes[1] and (words.hashes[0] == words.hashes[2]) == fold
