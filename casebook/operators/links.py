@@ -5,6 +5,7 @@ Reference tables are not hinted: Spark broadcasts a side only when its measured
 """
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -99,10 +100,19 @@ def before_cutoff(
 
 
 def enrich_left(df: DataFrame, *sides: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left join several frames that are unique by the same key; they share one partitioning."""
-    for side in sides:
-        df = df.join(side, list(on), "left")
-    return df
+    """Left join several frames that are unique by the same key, each with columns of its own.
+
+    The sides are put below each other and gathered by key in one aggregate, which meets the frame in one
+    join: one exchange for all sides and one for the frame, however many sides there are.
+    """
+    if len(sides) < 2:
+        return df.join(sides[0], list(on), "left") if sides else df
+    names = [c for side in sides for c in side.columns if c not in on]
+    if len(set(names)) < len(names):
+        raise ValueError("sides share column names")
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
+    gathered = stacked.groupBy(*on).agg(*(F.first(F.col(f"`{c}`"), ignorenulls=True).alias(c) for c in names))
+    return df.join(gathered, list(on), "left")
 
 
 def near_before(

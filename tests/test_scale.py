@@ -156,3 +156,21 @@ def test_ladder_makes_no_hash_for_its_sort(spark):
     # The tree is printed from the top: hashes are made after the exchange and the first places only.
     assert text.count("Exchange") == 1 and text.count("WindowGroupLimit") == 3
     assert "xxhash64" in text[: text.index("Exchange")] and "xxhash64" not in text[text.index("Exchange") :]
+
+
+def test_many_sides_meet_in_one_join(shuffled):
+    """However many sides: one exchange for them, one for the frame, one join."""
+    spark = shuffled
+    people = spark.range(300).select((F.col("id") % 200).alias("a"), F.when(F.col("id") % 7 > 0, F.col("id") % 5).alias("b"), "id")
+    keys = spark.range(0, 200, 2).select(F.col("id").alias("a"), (F.col("id") % 5).alias("b"))
+    sides = [keys.where(f"a % {k + 2} = 0").select("a", "b", F.when(F.col("a") % 3 > 0, F.array(F.lit(k), F.col("a"))).alias(f"s{k}")) for k in range(6)]
+    found = links.enrich_left(people, *sides, on=["a", "b"])
+    text = plan(found)
+    assert text.count("Exchange hash") == 2 and text.count("SortMergeJoin") == 1
+    direct = people
+    for side in sides:
+        direct = direct.join(side, ["a", "b"], "left")
+    assert rows(found) == rows(direct) and found.columns == direct.columns
+    assert links.enrich_left(people, on=["a", "b"]).count() == links.enrich_left(people, sides[0], on=["a", "b"]).count() == 300
+    with pytest.raises(ValueError):
+        links.enrich_left(people, sides[0], sides[0], on=["a", "b"])
