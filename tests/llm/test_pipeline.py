@@ -5,7 +5,7 @@ import pytest
 
 import corpus_pipeline
 from casebook.llm import lines
-from test_lines import brute as without_lines
+from test_lines import without_earlier_runs as without_lines
 from test_minhash import brute as groups
 
 
