@@ -9,7 +9,9 @@ registers drops hopeless pairs; the full sets decide.
 Candidates are never spelled out as all pairs of a bucket. Buckets are joined to candidate groups
 by edges to their smallest member. A small group is compared in one task. A large one is dealt into
 blocks that also get the members that share most buckets; what these leave outside the group's main
-component is compared with the whole group, block by block.
+component is compared with the whole group, block by block. Where that is too much, the group is
+taken apart into its buckets again. Blocks are bounded by members and by shingles, so very long
+texts meet few others in a task. None of these limits drops a pair that shares a bucket.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -37,6 +39,10 @@ BASE, RATE = 1.02, 20.0
 SLACK = 20.0
 #: Members compared in one task, hubs that every block of a larger group gets, block of the rest.
 SMALL, HUBS, BLOCK = 128, 16, 256
+#: Shingles compared in one task, unless a single document has more.
+HELD = 1 << 22
+#: Copies of a large group made for members outside its main component; with more its buckets are used.
+ASKING = 8
 
 _MULTIPLIERS = np.random.Generator(np.random.PCG64(7)).integers(0, 1 << 31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _BAND_SALT = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
@@ -211,48 +217,119 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", perce
     prepared(df.sparkSession)
     docs = df.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     sketches = stored(sketch_documents(docs, width).drop("text"), "sketches")
-    classes = sketches.filter("key is not null").groupBy("key").agg(F.min(F.struct("id", "bands")).alias("first"))
-    classes = stored(classes.select("key", F.col("first.id").alias("rep"), "first.bands"), "classes")
+    classes = sketches.filter("key is not null").groupBy("key").agg(F.min(F.struct("id", "bands", "n_shingles")).alias("first"))
+    classes = stored(classes.select("key", F.col("first.id").alias("rep"), "first.bands", F.col("first.n_shingles").alias("weight")), "classes")
     values = classes.select("rep", F.explode("bands").alias("value"))
     hubs = values.groupBy("value").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = stored(values.join(hubs, "value").groupBy("rep", "hub").agg(F.sum("n").alias("n")), "buckets")
 
     candidates = components(shared.select(F.col("hub").alias("a"), F.col("rep").alias("b")), "candidates")
-    sizes = candidates.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    sized = stored(candidates.join(sizes, "component").withColumnRenamed("component", "grp"), "groups")
+    candidates = candidates.withColumnRenamed("component", "grp").join(classes.select(F.col("rep").alias("id"), "weight"), "id")
+    sizes = candidates.groupBy("grp").agg(F.count(F.lit(1)).alias("size"), F.sum("weight").alias("held"))
+    sized = stored(candidates.join(sizes, "grp"), "groups")
     members = docs.join(sized, "id").withColumns({"asks": F.lit(True), "label": F.col("id")})
-    edges = _links(members.filter(F.col("size") <= SMALL), ["grp"], percent, width)
+    one_task = (F.col("size") <= SMALL) & (F.col("held") <= HELD)
+    edges = _links(members.filter(one_task), ["grp"], percent, width)
 
-    large = sized.filter(F.col("size") > SMALL)
+    large = sized.filter(~one_task)
     if large.isEmpty():
         edges = stored(edges, "links")
         return _result(sketches, classes, edges, id)
 
-    big = stored(members.filter(F.col("size") > SMALL), "large-groups")
+    big = stored(members.filter(~one_task), "large-groups")
     degree = shared.groupBy(F.col("rep").alias("id")).agg(F.sum("n").alias("degree"))
-    rank = F.row_number().over(W.partitionBy("grp").orderBy(F.desc("degree"), "id"))
-    hubs = large.join(degree, "id").withColumn("rank", rank).filter(F.col("rank") <= HUBS).select("id")
-    blocks = F.ceil(F.col("size") / SMALL)
+    order = W.partitionBy("grp").orderBy(F.desc("degree"), "id")
+    hubs = large.join(degree, "id").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= HUBS)
+    hubs = hubs.withColumn("before", F.sum("weight").over(order)).filter((F.col("rank") == 1) | (F.col("before") <= HELD)).select("id")
+    blocks = _tasks("size", "held", SMALL)
     dealt = big.withColumn("block", F.pmod(F.xxhash64("id"), blocks))
     spread = big.join(hubs, "id").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     both = dealt.unionByName(spread.select(dealt.columns))
     edges = stored(edges.union(_links(both, ["grp", "block"], percent, width)), "links")
 
-    labels = large.join(components(edges, "first"), "id", "left").select("id", "grp", "size", F.coalesce("component", "id").alias("label"))
-    counted = labels.groupBy("grp", "label").agg(F.count(F.lit(1)).alias("n"))
-    main = counted.groupBy("grp").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("all"))
-    main = main.select("grp", F.col("main.label").alias("main"), F.ceil((F.col("all") - F.col("main.n")) / BLOCK).alias("asking"), F.ceil(F.col("all") / BLOCK).alias("parts"))
-    split = stored(labels.drop("size").join(main.filter("asking > 0"), "grp"), "outside")
-    whole = big.select("id", "text").join(split, "id")
+    texts = big.select("id", "text")
+    labels = _labelled(large, edges, "first")
+    main = stored(_main(labels, "grp"), "main")
+    near = labels.join(main.filter(F.col("asking") <= ASKING), "grp")
+    edges = stored(edges.union(_outside(near, "grp", texts, percent, width)), "near-links")
+    far = main.filter(F.col("asking") > ASKING).select("grp")
+    if not far.isEmpty():
+        crowd = stored(large.join(far, "grp"), "crowds")
+        edges = _crowds(crowd, classes, shared, texts, edges, percent, width)
+    return _result(sketches, classes, edges, id)
+
+
+def _tasks(rows: str, held: str, most: int) -> Column:
+    """Into how many tasks so many rows with so many shingles are dealt."""
+    return F.greatest(F.ceil(F.col(rows) / most), F.ceil(F.col(held) / HELD), F.lit(1))
+
+
+def _labelled(members: DataFrame, edges: DataFrame, name: str) -> DataFrame:
+    """(id, grp, weight, label) of members: the label is the component that the edges give."""
+    found = members.join(components(edges, name), "id", "left")
+    return stored(found.select("id", "grp", "weight", F.coalesce("component", "id").alias("label")), f"{name}-labels")
+
+
+def _main(labels: DataFrame, by: str) -> DataFrame:
+    """Per group with several labels the most frequent one, and the tasks its other members
+    (asking) and all members (parts) are dealt into."""
+    counted = labels.groupBy(by, "label").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w"))
+    main = counted.groupBy(by).agg(F.max(F.struct("n", "label", "w")).alias("main"), F.sum("n").alias("n"), F.sum("w").alias("w"))
+    main = main.select(by, "n", "w", F.col("main.label").alias("main"), (F.col("n") - F.col("main.n")).alias("out"), (F.col("w") - F.col("main.w")).alias("out_w"))
+    return main.filter("out > 0").select(by, "main", _tasks("out", "out_w", BLOCK).alias("asking"), _tasks("n", "w", BLOCK).alias("parts"))
+
+
+def _outside(rows: DataFrame, by: str, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """Edges of members outside the main component of their group with all of the group.
+
+    Rows: (by, id, label, main, asking, parts). A group that fits in one task is sent once.
+    """
+    whole = texts.join(rows, "id")
     own = F.pmod(F.xxhash64("id"), F.col("parts"))
     asked = F.pmod(F.xxhash64("id", F.lit(1)), F.col("asking"))
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    zero = F.lit(0).cast("long")
+    every = lambda n: F.explode(F.sequence(zero, F.col(n) - 1))
+    split = whole.filter("parts > 1")
     sides = [
-        whole.filter("label != main").withColumns({"asks": F.lit(True), "asker": asked, "part": every("parts")}),
-        whole.withColumns({"asks": F.lit(False), "asker": every("asking"), "part": own}),
+        whole.filter("parts = 1").withColumns({"asks": F.lit(True), "asker": zero, "part": zero}),
+        split.filter("label != main").withColumns({"asks": F.lit(True), "asker": asked, "part": every("parts")}),
+        split.withColumns({"asks": F.lit(False), "asker": every("asking"), "part": own}),
     ]
-    rest = _links(sides[0].unionByName(sides[1]), ["grp", "asker", "part"], percent, width)
-    return _result(sketches, classes, stored(edges.union(rest), "all-links"), id)
+    return _links(sides[0].unionByName(sides[1]).unionByName(sides[2]), [by, "asker", "part"], percent, width)
+
+
+def _crowds(crowd: DataFrame, classes: DataFrame, shared: DataFrame, texts: DataFrame, edges: DataFrame, percent: int, width: int) -> DataFrame:
+    """All edges, with those inside groups of which too much lies outside the main component.
+
+    Such groups are chains of buckets, so they are taken apart again. Each member first asks the
+    hub it shares most with; then only buckets with members of several components are left, and
+    only in these the members outside the bucket's main component ask the others. Buckets of the
+    same members are asked once.
+    """
+    labels = _labelled(crowd, edges, "crowd")
+    best = shared.filter("rep != hub").groupBy(F.col("rep").alias("id")).agg(F.max(F.struct("n", (-F.col("hub")).alias("hub"))).alias("best"))
+    named = labels.select(F.col("id").alias("hub"), F.col("label").alias("hub_label"), F.col("weight").alias("hub_weight"))
+    stars = labels.join(best, "id").select("id", "label", "weight", (-F.col("best.hub")).alias("hub")).join(named, "hub")
+    stars = stored(stars.filter("label != hub_label"), "stars")
+    counted = stars.groupBy("hub").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w"), F.first("hub_label").alias("label"))
+    counted = stored(counted.select("hub", "label", _tasks("n", "w", BLOCK).alias("asking")), "hubs")
+    askers = stars.join(counted.select("hub", "asking"), "hub").withColumns({"asks": F.lit(True), "asker": F.pmod(F.xxhash64("id"), F.col("asking"))})
+    asked = counted.withColumns({"id": F.col("hub"), "asks": F.lit(False), "asker": F.explode(F.sequence(F.lit(0).cast("long"), F.col("asking") - 1))})
+    columns = ["hub", "asker", "asks", "label", "id"]
+    rows = texts.join(askers.select(columns).unionByName(asked.select(columns)), "id")
+    edges = stored(edges.union(_links(rows, ["hub", "asker"], percent, width)), "star-links")
+
+    labels = _labelled(crowd, edges, "starred")
+    held = classes.select(F.col("rep").alias("id"), F.explode("bands").alias("value"))
+    held = stored(held.join(labels.select("id", "label", "weight"), "id"), "crowd-buckets")
+    kinds = held.groupBy("value").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"),
+    )
+    kinds = stored(kinds.filter("low < high").groupBy("n", "x", "y").agg(F.min("value").alias("value")).select("value"), "mixed-buckets")
+    mixed_rows = stored(held.join(kinds, "value"), "mixed-members")
+    rows = mixed_rows.join(stored(_main(mixed_rows, "value"), "bucket-main"), "value")
+    return stored(edges.union(_outside(rows, "value", texts, percent, width)), "all-links")
 
 
 def _result(sketches: DataFrame, classes: DataFrame, edges: DataFrame, id: str) -> DataFrame:

@@ -67,6 +67,34 @@ def test_large_groups_lose_no_link(spark, frame):
     assert found(minhash.near_duplicates(frame(rows))) == brute(rows)
 
 
+@pytest.mark.parametrize("limits", [{"ASKING": 0, "SMALL": 12, "HUBS": 1, "BLOCK": 16}, {"HELD": 3000}])
+def test_groups_taken_apart_lose_no_link(frame, monkeypatch, limits):
+    """Groups compared by buckets, in many blocks, and in blocks bounded by their shingles."""
+    for name, value in limits.items():
+        monkeypatch.setattr(minhash, name, value)
+    texts = near_copies(160, 150, 36, 4) + near_copies(60, 120, 12, 5) + near_copies(3, 4000, 300, 6)
+    random.Random(7).shuffle(texts)
+    rows = list(enumerate(texts, 10))
+    assert found(minhash.near_duplicates(frame(rows))) == brute(rows)
+
+
+def test_mostly_unlinked_crowd(frame, monkeypatch):
+    """A template of which each document keeps about 60 %: buckets hold many, few pairs are linked."""
+    taken = []
+    apart = minhash._crowds
+    monkeypatch.setattr(minhash, "_crowds", lambda *args: taken.append(1) or apart(*args))
+    monkeypatch.setattr(minhash, "ASKING", 0)
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(300)]
+    texts = []
+    for k in range(150):
+        own = [f"u{k}x{j}" for j in range(rng.randrange(60, 110))]
+        texts.append(" ".join(base + own))
+    rows = list(enumerate(texts, 10))
+    assert found(minhash.near_duplicates(frame(rows))) == brute(rows)
+    assert taken
+
+
 def test_odd_rows(frame):
     rows = [(1, None), (2, ""), (3, " \n\t"), (4, "one two"), (5, "ONE  two"), (6, "two one"), (None, "one two"), (4, "one two")]
     rows += [(7, "a\u00a0b c d e f"), (8, "a\u00a0b C d e f"), (9, "x " * 50_000)]
