@@ -227,7 +227,10 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", perce
     candidates = candidates.withColumnRenamed("component", "grp").join(classes.select(F.col("rep").alias("id"), "weight"), "id")
     sizes = candidates.groupBy("grp").agg(F.count(F.lit(1)).alias("size"), F.sum("weight").alias("held"))
     sized = stored(candidates.join(sizes, "grp"), "groups")
-    members = docs.join(sized, "id").withColumns({"asks": F.lit(True), "label": F.col("id")})
+    # The texts of candidates are gathered once. Their number grows with the documents, so the join
+    # is a shuffle at every size; on large inputs Spark filters the documents by a Bloom filter first.
+    members = docs.join(sized.hint("merge"), "id").withColumns({"asks": F.lit(True), "label": F.col("id")})
+    members = stored(members, "members")
     one_task = (F.col("size") <= SMALL) & (F.col("held") <= HELD)
     edges = _links(members.filter(one_task), ["grp"], percent, width)
 
@@ -236,7 +239,7 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", perce
         edges = stored(edges, "links")
         return _result(sketches, classes, edges, id)
 
-    big = stored(members.filter(~one_task), "large-groups")
+    big = members.filter(~one_task)
     degree = shared.groupBy(F.col("rep").alias("id")).agg(F.sum("n").alias("degree"))
     order = W.partitionBy("grp").orderBy(F.desc("degree"), "id")
     hubs = large.join(degree, "id").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= HUBS)
