@@ -6,7 +6,6 @@ from casebook.constants import UNKNOWN_ETHNICITY
 from casebook.operators import spells
 from casebook.plans.events import episode_events
 from casebook.plans.hospital import hospital_prep
-from casebook.sources.writers import hard_cache
 from workload.registry import query
 from workload.views import Tables
 from workload.views_sql import VIEWS, _modal, age_at, spell_views, _UNKNOWN
@@ -26,11 +25,6 @@ def episodes(t: Tables):
     return hospital_prep(t.admitted, "admitted", "DIAG_4_01", "DIAG_4_CONCAT", admitted=True)
 
 
-def stored(t: Tables):
-    """Prepared episodes as a written table: collapsing reads them three times."""
-    return hard_cache(episodes(t), "episodes")
-
-
 @query("spell_bounds", """
     SELECT a.record_id, nullif(a.spell_id, '-1') AS spell_id,
         CASE WHEN year(admission_date) > 1801 THEN CAST(admission_date AS VARCHAR) END
@@ -86,7 +80,7 @@ _WIDE = """spell_id, CAST(spell_start AS VARCHAR) AS spell_start,
     SELECT {_WIDE.format(ids='record_id')}, array_to_string(codes, ',') AS code,
         array_to_string(flags, ',') AS flag FROM whole_wide""")
 def _(t: Tables):
-    dated = stored(t).na.drop(subset=["spell_id", "spell_start", "spell_end"])
+    dated = episodes(t).na.drop(subset=["spell_id", "spell_start", "spell_end"])
     return spells.collapse_spell(dated)
 
 
@@ -123,7 +117,7 @@ def _(t: Tables):
         array_to_string(flag_assoc, ',') AS flag_assoc
     FROM whole_summary""")
 def _(t: Tables):
-    return spells.spell_pipeline(stored(t))
+    return spells.spell_pipeline(episodes(t))
 
 
 @query("job_episodes", f"""
