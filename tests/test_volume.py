@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from casebook.operators import latest, quality, spells
 from casebook.plans import cohort
 from casebook.plans.hospital import eligible_people, hospital_prep
+from casebook.sources.published import Published
 
 
 def plan(df):
@@ -32,8 +33,6 @@ def test_keys_are_compared_by_hash_first(spark, monkeypatch):
 
 
 def test_tables_are_written_with_a_codec_for_hex(spark, tmp_path):
-    from casebook.sources.published import Published
-
     table = Published(spark, str(tmp_path / "t"))
     table.overwrite(spark.range(3))
     assert all(n.endswith(".zstd.parquet") for names in table.describe()["files"].values() for n in names)
@@ -95,6 +94,14 @@ def test_people_need_no_cohort_table(spark, tmp_path):
     r.people  # noqa: B018
     assert set(r.seconds) == {"extract", "people"}
     assert rows(r.people) == rows(eligible_people(r.cohort))
+    # Ids that follow from the stored columns are not stored.
+    s = r.sources
+    plainly = cohort.extract(s.annual, s.quarterly, r.cohorts, r.extract_key)
+    assert r.extract.columns == plainly.columns
+    assert rows(r.extract.select("meta_practice", "extract_id")) == rows(plainly.select("meta_practice", "extract_id"))
+    assert rows(r.cohort.select("cohort_id")) == rows(r.clean_extract.select("extract_id"))
+    for name in ("extract", "clean_extract"):
+        assert "extract_id" not in Published(spark, f"{r.out}/{name}").read().columns
 
 
 def test_lines_meet_orders_before_their_texts_are_made(spark):
