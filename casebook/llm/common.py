@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import os
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
@@ -245,23 +244,25 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     In a round every vertex moves to the smallest of its neighbours and itself, and on to where
     that one moves; edges follow, and those within one place go. So the edges shrink fast, and the
     rounds grow with the logarithm of a component's diameter. The smallest vertex never moves. Each
-    round is a written table. Vertices without edges are not returned.
+    round is three written tables, of which only one needs a shuffle where the others are small; the
+    moves of all rounds are put together at the end. Vertices without edges are not returned. The edges
+    are read twice, so they should be a stored table; repeated ones do no harm.
     """
-    left = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), f"{name}-edges")
-    places = None
-    for k in itertools.count(1):
+    left = edges.select("a", "b").filter("a != b")
+    places, rounds = None, 0
+    while places is None or not left.isEmpty():
+        rounds += 1
         both = left.union(left.select("b", "a"))
         near = both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("to"))
-        near = stored(near, f"{name}-near-{k}")
+        near = stored(near, f"{name}-near-{rounds}")
         onward = near.select(F.col("id").alias("to"), F.col("to").alias("next"))
-        moves = stored(near.join(onward, "to").select("id", F.col("next").alias("to")), f"{name}-moves-{k}")
+        moves = stored(near.join(onward, "to").select("id", F.col("next").alias("to")), f"{name}-moves-{rounds}")
         if places is None:
             places = moves.withColumnRenamed("to", "component")
         else:
             moved = moves.withColumnRenamed("id", "component")
-            places = stored(places.join(moved, "component", "left").select("id", F.coalesce("to", "component").alias("component")), f"{name}-places-{k}")
+            places = places.join(moved, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
         ends = [moves.select(F.col("id").alias(c), F.col("to").alias(f"{c}2")) for c in ("a", "b")]
         joined = left.join(ends[0], "a").join(ends[1], "b").filter("a2 != b2")
-        left = stored(joined.select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")).distinct(), f"{name}-edges-{k}")
-        if left.isEmpty():
-            return places
+        left = stored(joined.select(F.col("a2").alias("a"), F.col("b2").alias("b")), f"{name}-edges-{rounds}")
+    return stored(places, f"{name}-places") if rounds > 1 else places

@@ -257,8 +257,8 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", perce
     edges = stored(edges.union(_outside(near, "grp", texts, percent, width)), "near-links")
     far = main.filter(F.col("asking") > ASKING).select("grp")
     if not far.isEmpty():
-        crowd = stored(large.join(far, "grp"), "crowds")
-        edges = _crowds(crowd, classes, shared, texts, edges, percent, width)
+        # No edges were found in these groups since they were labelled.
+        edges = _crowds(labels.join(far, "grp"), classes, shared, texts, edges, percent, width)
     return _result(sketches, classes, edges, id)
 
 
@@ -301,15 +301,15 @@ def _outside(rows: DataFrame, by: str, texts: DataFrame, percent: int, width: in
     return _links(sides[0].unionByName(sides[1]).unionByName(sides[2]), [by, "asker", "part"], percent, width)
 
 
-def _crowds(crowd: DataFrame, classes: DataFrame, shared: DataFrame, texts: DataFrame, edges: DataFrame, percent: int, width: int) -> DataFrame:
+def _crowds(labels: DataFrame, classes: DataFrame, shared: DataFrame, texts: DataFrame, edges: DataFrame, percent: int, width: int) -> DataFrame:
     """All edges, with those inside groups of which too much lies outside the main component.
 
-    Such groups are chains of buckets, so they are taken apart again. Each member first asks the
+    ``labels`` has the members of these groups, labelled by the edges so far. Such groups are chains of buckets, so they are taken apart again. Each member first asks the
     hub it shares most with; then only buckets with members of several components are left, and
     only in these the members outside the bucket's main component ask the others. Buckets of the
     same members are asked once.
     """
-    labels = _labelled(crowd, edges, "crowd")
+    labels = stored(labels, "crowds")
     best = shared.filter("rep != hub").groupBy(F.col("rep").alias("id")).agg(F.max(F.struct("n", (-F.col("hub")).alias("hub"))).alias("best"))
     named = labels.select(F.col("id").alias("hub"), F.col("label").alias("hub_label"), F.col("weight").alias("hub_weight"))
     stars = labels.join(best, "id").select("id", "label", "weight", (-F.col("best.hub")).alias("hub")).join(named, "hub")
@@ -322,7 +322,7 @@ def _crowds(crowd: DataFrame, classes: DataFrame, shared: DataFrame, texts: Data
     rows = texts.join(askers.select(columns).unionByName(asked.select(columns)), "id")
     edges = stored(edges.union(_links(rows, ["hub", "asker"], percent, width)), "star-links")
 
-    labels = _labelled(crowd, edges, "starred")
+    labels = _labelled(labels, edges, "starred")
     held = classes.select(F.col("rep").alias("id"), F.explode("bands").alias("value"))
     held = stored(held.join(labels.select("id", "label", "weight"), "id"), "crowd-buckets")
     kinds = held.groupBy("value").agg(

@@ -64,3 +64,17 @@ def test_long_words_are_told_apart():
     for fold in (False, True):
         words = common.Words([word + b" " + other, word.upper()], fold)
         assert words.hashes[0] != words.hashes[1] and (words.hashes[0] == words.hashes[2]) == fold
+
+
+def test_rounds_write_little(spark, monkeypatch):
+    """Edges are not written before the first round, nor the places of every vertex in each round."""
+    names, write = [], common.stored
+    monkeypatch.setattr(common, "stored", lambda df, name, by=None: names.append(name) or write(df, name, by))
+    rng = random.Random(4)
+    order = rng.sample(range(400), 400)
+    edges = list(zip(order, order[1:], strict=False)) + [(order[0], order[1]), (7, 7)]
+    got = common.components(spark.createDataFrame(edges, "a long, b long"), "path")
+    assert {tuple(r) for r in got.collect()} == {(k, 0) for k in range(400)}
+    rounds = max(int(n.rsplit("-", 1)[1]) for n in names if "near" in n)
+    assert rounds > 1
+    assert sorted(names) == sorted([f"path-{what}-{k + 1}" for what in ("near", "moves", "edges") for k in range(rounds)] + ["path-places"])

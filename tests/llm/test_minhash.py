@@ -95,6 +95,17 @@ def test_mostly_unlinked_crowd(frame, monkeypatch):
     assert taken
 
 
+def test_crowds_keep_their_labels(frame, monkeypatch):
+    """Groups that are taken apart are not labelled a second time by the same edges."""
+    named, label = [], minhash.components
+    monkeypatch.setattr(minhash, "components", lambda edges, name: named.append(name) or label(edges, name))
+    monkeypatch.setattr(minhash, "ASKING", 0)
+    base = [f"w{k}" for k in range(300)]
+    rows = [(k, " ".join(base + [f"u{k}x{j}" for j in range(60 + k % 50)])) for k in range(150)]
+    assert found(minhash.near_duplicates(frame(rows))) == brute(rows)
+    assert named == ["candidates", "first", "starred", "linked"]
+
+
 def test_odd_rows(frame):
     rows = [(1, None), (2, ""), (3, " \n\t"), (4, "one two"), (5, "ONE  two"), (6, "two one"), (None, "one two"), (4, "one two")]
     rows += [(7, "a\u00a0b c d e f"), (8, "a\u00a0b C d e f"), (9, "x " * 50_000)]
