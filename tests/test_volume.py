@@ -166,3 +166,38 @@ def test_a_stored_copy_of_the_episodes_is_not_needed(spark, tmp_path, monkeypatc
     monkeypatch.setattr(queries, "stored", fail, raising=False)
     assert QUERIES["collapse_spell"](spark, "/root/testdata/sf0.001").count() > 0
     assert QUERIES["spell_pipeline"](spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_entries_without_ids_are_those_of_the_journal(spark):
+    clean = cohort.clean_extract(extracts(spark), key_columns=KEY)
+    ref = spark.createDataFrame([("a", "A_COD", 1), ("a", "B_COD", 1)], "ref_code string, cluster string, active int")
+    whole, lean = cohort.journal_table(clean, ref, hashed=True), cohort.journal_table(clean, ref, identified=False)
+    assert lean.columns == [c for c in whole.columns if c != "journal_id"]
+    assert rows(lean) == rows(whole.drop("journal_id")) and lean.count() == 3
+    stored = spark.createDataFrame(clean.collect(), clean.schema)
+    assert "sha2" not in plan(cohort.journal_table(stored, ref, identified=False))
+    assert cohort.require_unique_entries(lean) is lean
+    # Values in another place give the same id, in the journal as here.
+    swapped = lean.withColumn("code_array", F.reverse("code_array"))
+    with pytest.raises(ValueError, match="journal: journal_id is not unique"):
+        cohort.require_unique_entries(lean.unionByName(swapped))
+
+
+def test_events_need_no_ids_of_the_journal(spark, tmp_path):
+    from workload.jobs import run
+    from workload.views import Tables
+
+    r = run(Tables(spark, "/root/testdata/sf0.001"))
+    r.out = str(tmp_path / "run")
+    r.demographic, r.diagnoses  # noqa: B018
+    assert not {"cohort", "journal", "entries"} & set(r.seconds)
+    assert "record_id" not in Published(spark, f"{r.out}/readings").read().columns
+    lean = [rows(df) for df in (r.entries, r.readings, r.diagnoses)]
+    other = run(Tables(spark, "/root/testdata/sf0.001"))
+    other.out = str(tmp_path / "other")
+    assert other.entries.columns == r.entries.columns
+    other = run(Tables(spark, "/root/testdata/sf0.001"))
+    other.out = str(tmp_path / "whole")
+    other.journal  # noqa: B018
+    assert other.entries is other.journal
+    assert lean == [rows(df) for df in (other.journal.drop("journal_id"), other.readings, other.diagnoses)]
