@@ -1,12 +1,18 @@
-"""How much is shuffled and written on the way to the products."""
+"""How much is shuffled and written on the way to the products, and how much of it stays."""
+
+import os
+import re
+import time
 
 import pytest
 from plain_rows import d, rows
 from pyspark.sql import functions as F
 
 from casebook.operators import latest, quality, spells
-from casebook.plans import cohort
+from casebook.plans import cohort, journal
+from casebook.plans import events as events_plan
 from casebook.plans.hospital import eligible_people, hospital_prep
+from casebook.sources import writers
 from casebook.sources.published import Published
 
 
@@ -201,3 +207,87 @@ def test_events_need_no_ids_of_the_journal(spark, tmp_path):
     other.journal  # noqa: B018
     assert other.entries is other.journal
     assert lean == [rows(df) for df in (other.journal.drop("journal_id"), other.readings, other.diagnoses)]
+
+
+def shuffled_files(spark):
+    """Names of the shuffle files on this machine's disk."""
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    files = env.blockManager().diskBlockManager().getAllFiles().iterator()
+    names = set()
+    while files.hasNext():
+        names.add(files.next().getName())
+    return {n for n in names if n.startswith("shuffle")}
+
+
+def test_shuffle_files_go_when_a_write_ends(spark, tmp_path):
+    before = shuffled_files(spark)
+    counts = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
+    written, _, new = writers.keep(counts, str(tmp_path / "p"))
+    ends = time.time() + 20
+    while shuffled_files(spark) - before and time.time() < ends:
+        time.sleep(0.1)
+    assert not shuffled_files(spark) - before
+    assert new and rows(written) == [(k, 100) for k in range(10)]
+    # What has lost its files is made again.
+    assert counts.count() == 10 and rows(counts) == rows(counts) == rows(written)
+
+
+def test_whole_episodes_are_shuffled_once(spark):
+    row = lambda i, spell, person: (
+        f"r{i}", spell, d("2020-01-01"), d(f"2020-01-{2 + i:02}"), "I21 9", "I21 9, E119", person, d("1950-01-01"))
+    data = [row(0, "1", "p"), row(1, "1", "p"), row(2, "1", "q"), row(3, "1", None), row(4, "2", "q"), row(5, None, "p"), row(6, "-1", "q")]
+    born = "person_id string, birth_date date"
+    people = spark.createDataFrame([("p", d("1950-01-01")), ("p", d("1950-01-01")), (None, d("1950-01-01"))], born)
+    found = spells.spell_bounds(spark.createDataFrame(data, EPISODE), people=people)
+    assert rows(found.select("record_id", "spell_id", "spell_start", "spell_end")) == [
+        ("r0", "1", d("2020-01-01"), d("2020-01-05")), ("r1", "1", d("2020-01-01"), d("2020-01-05")), ("r5", None, None, None)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        details = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        text = found._jdf.queryExecution().explainString(details)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    inputs = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", text)
+    # One for the episodes of spells, one for the few without a spell.
+    assert sum("DIAG_4_CONCAT" in i for i in inputs) == 2
+
+
+def test_episodes_are_made_from_a_stage_that_does_not_stay(spark, tmp_path, monkeypatch):
+    from workload.jobs import run
+    from workload.views import Tables
+
+    stages = []
+    monkeypatch.setattr(writers, "shared_dir", lambda _, name: stages.append(str(tmp_path / f"{name}-{len(stages)}")) or stages[-1])
+    r = run(Tables(spark, "/root/testdata/sf0.001"))
+    r.out = str(tmp_path / "run")
+    s = r.sources
+    plainly = hospital_prep(s.admitted, r.labels.admitted, *s.codes, admitted=True, eligible=r.people)
+    assert r.episodes.columns == plainly.columns and rows(r.episodes) == rows(plainly)
+    assert len(stages) == 1 and not os.path.exists(stages[0])
+    # A later run knows the product, though the stage is gone.
+    again = run(Tables(spark, "/root/testdata/sf0.001"))
+    again.out = r.out
+    assert rows(again.episodes) == rows(plainly) and "episodes" not in again.seconds and len(stages) == 1
+
+
+def test_a_stage_goes_when_its_reader_fails(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "shared_dir", lambda _, name: str(tmp_path / name))
+    with pytest.raises(ValueError, match="no rows"), writers.stage(spark) as store:
+        assert store(spark.range(3)).count() == 3 and os.path.exists(tmp_path / "stage")
+        raise ValueError("no rows")
+    assert not os.path.exists(tmp_path / "stage")
+
+
+def test_stored_episodes_are_dealt_by_spell_once(spark, tmp_path):
+    from workload.jobs import run
+    from workload.views import Tables
+
+    r = run(Tables(spark, "/root/testdata/sf0.001"))
+    r.out = str(tmp_path / "run")
+    plainly, dealt = events_plan.spell_events(r.episodes), events_plan.spell_events(r.episodes, gather=True)
+    # One for the ids and codes, one for the values that are counted.
+    assert plan(dealt).count("Exchange hashpartitioning") == 2 < plan(plainly).count("Exchange hashpartitioning")
+    assert rows(dealt) == rows(plainly)
+    # The readings' two aggregates share one.
+    readings = journal.blood_pressure(r.entries, r.labels.readings, r.first_reading)
+    assert plan(readings).count("Exchange hashpartitioning") == 1
