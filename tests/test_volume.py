@@ -3,6 +3,7 @@
 import os
 import re
 import time
+from contextlib import contextmanager
 
 import pytest
 from plain_rows import d, rows
@@ -235,12 +236,12 @@ def test_shuffle_files_go_when_a_write_ends(spark, tmp_path):
 def test_whole_episodes_are_shuffled_once(spark):
     row = lambda i, spell, person: (
         f"r{i}", spell, d("2020-01-01"), d(f"2020-01-{2 + i:02}"), "I21 9", "I21 9, E119", person, d("1950-01-01"))
-    data = [row(0, "1", "p"), row(1, "1", "p"), row(2, "1", "q"), row(3, "1", None), row(4, "2", "q"), row(5, None, "p"), row(6, "-1", "q")]
+    data = [row(0, "1", "p"), row(0, "1", "p"), row(1, "1", "p"), row(2, "1", "q"), row(3, "1", None), row(4, "2", "q"), row(5, None, "p"), row(6, "-1", "q")]
     born = "person_id string, birth_date date"
     people = spark.createDataFrame([("p", d("1950-01-01")), ("p", d("1950-01-01")), (None, d("1950-01-01"))], born)
     found = spells.spell_bounds(spark.createDataFrame(data, EPISODE), people=people)
     assert rows(found.select("record_id", "spell_id", "spell_start", "spell_end")) == [
-        ("r0", "1", d("2020-01-01"), d("2020-01-05")), ("r1", "1", d("2020-01-01"), d("2020-01-05")), ("r5", None, None, None)]
+        *[("r0", "1", d("2020-01-01"), d("2020-01-05"))] * 2, ("r1", "1", d("2020-01-01"), d("2020-01-05")), ("r5", None, None, None)]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         details = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
@@ -252,30 +253,39 @@ def test_whole_episodes_are_shuffled_once(spark):
     assert sum("DIAG_4_CONCAT" in i for i in inputs) == 2
 
 
+def stages(path):
+    return [n for n in os.listdir(path) if n.startswith("_stage")]
+
+
 def test_episodes_are_made_from_a_stage_that_does_not_stay(spark, tmp_path, monkeypatch):
     from workload.jobs import run
     from workload.views import Tables
 
-    stages = []
-    monkeypatch.setattr(writers, "shared_dir", lambda _, name: stages.append(str(tmp_path / f"{name}-{len(stages)}")) or stages[-1])
+    seen, plain_stage = [], writers.stage
+
+    @contextmanager
+    def watched(session, below):
+        with plain_stage(session, below) as store:
+            yield lambda df: (store(df), seen.append(stages(below)))[0]
+
+    monkeypatch.setattr(writers, "stage", watched)
     r = run(Tables(spark, "/root/testdata/sf0.001"))
     r.out = str(tmp_path / "run")
     s = r.sources
     plainly = hospital_prep(s.admitted, r.labels.admitted, *s.codes, admitted=True, eligible=r.people)
     assert r.episodes.columns == plainly.columns and rows(r.episodes) == rows(plainly)
-    assert len(stages) == 1 and not os.path.exists(stages[0])
+    assert [len(names) for names in seen] == [1] and not stages(f"{r.out}/episodes")
     # A later run knows the product, though the stage is gone.
     again = run(Tables(spark, "/root/testdata/sf0.001"))
     again.out = r.out
-    assert rows(again.episodes) == rows(plainly) and "episodes" not in again.seconds and len(stages) == 1
+    assert rows(again.episodes) == rows(plainly) and "episodes" not in again.seconds and len(seen) == 1
 
 
-def test_a_stage_goes_when_its_reader_fails(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(writers, "shared_dir", lambda _, name: str(tmp_path / name))
-    with pytest.raises(ValueError, match="no rows"), writers.stage(spark) as store:
-        assert store(spark.range(3)).count() == 3 and os.path.exists(tmp_path / "stage")
+def test_a_stage_goes_when_its_reader_fails(spark, tmp_path):
+    with pytest.raises(ValueError, match="no rows"), writers.stage(spark, str(tmp_path)) as store:
+        assert store(spark.range(3)).count() == 3 and len(stages(tmp_path)) == 1
         raise ValueError("no rows")
-    assert not os.path.exists(tmp_path / "stage")
+    assert not stages(tmp_path)
 
 
 def test_stored_episodes_are_dealt_by_spell_once(spark, tmp_path):
