@@ -301,3 +301,22 @@ def test_stored_episodes_are_dealt_by_spell_once(spark, tmp_path):
     # The readings' two aggregates share one.
     readings = journal.blood_pressure(r.entries, r.labels.readings, r.first_reading)
     assert plan(readings).count("Exchange hashpartitioning") == 1
+
+
+def test_rows_are_not_sorted_for_a_partitioned_write(spark, tmp_path, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    setting, seen, parquet = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    before = spark.conf.get(setting)
+
+    def noted(writer, *arguments):
+        seen.append(int(spark.conf.get(setting)))
+        parquet(writer, *arguments)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    # More values than a task holds files open, nulls among them, and in no order.
+    value = F.when(F.col("id") % 50 > 0, F.col("id") * 7 % 50)
+    df = spark.range(0, 1000, 1, 2).select("id", value.alias("k"))
+    written = Published(spark, str(tmp_path / "t")).overwrite(df, ["k"])
+    assert seen[0] > 1 and spark.conf.get(setting) == before
+    assert rows(written.select("id", "k")) == rows(df)
